@@ -191,7 +191,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
             out.append(ids[4 * skip :])
             meet = t["meet"][i].as_py()
         first = t.slice(0, 1).combine_chunks()
-        return pa.table({"_id": pa.concat_arrays([first["_id"].combine_chunks()] * copies), "_rest": pa.concat_arrays([first["_rest"].combine_chunks()] * copies), "ids": pa.array([b"".join(out)] * copies, pa.binary())})
+        return pa.table({"_id": pa.concat_arrays([first["_id"].combine_chunks()] * copies), "_rest": pa.concat_arrays([T.loosen(first["_rest"])] * copies), "ids": pa.array([b"".join(out)] * copies, pa.binary())})
 
     is_long = F.octet_length("_text") > chunk
     short = rows.where(~is_long).mapInArrow(whole, schema)

@@ -51,6 +51,13 @@ def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
+def loosen(column: pa.Array | pa.ChunkedArray) -> pa.Array:
+    """A struct column whose fields may be null, as Spark's schema strings say."""
+    if isinstance(column, pa.ChunkedArray):
+        column = pa.concat_arrays(column.chunks)
+    return pa.StructArray.from_arrays(column.flatten(), fields=[pa.field(f.name, f.type, True) for f in column.type])
+
+
 def slices(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of whole texts of about `most` bytes, a longer text alone."""
     a, n = 0, len(offsets) - 1
