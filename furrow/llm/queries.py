@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from furrow import session
-from furrow.llm import byte_bpe, quality_classifier, quality_rules, substring_dedup, token_files
+from furrow.llm import byte_bpe, chat, embedding_dedup, language_id, mixing, quality_classifier, quality_rules, simhash, substring_dedup, token_files
 from furrow.llm import text as T
 
 
@@ -23,6 +23,10 @@ def words_hash(column: Column):
     return F.sha2(F.regexp_replace(F.regexp_replace(column, "[\\x20\\x09-\\x0D]+", " "), "^ | $", ""), 256)
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_dedup(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), path, pattern)
@@ -46,17 +50,56 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.train(docs))
+    return found.select("doc_id", T.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations are written as plain transcripts, and their roles and turns recovered from these."""
+    raw = chat.transcripts(table(spark, sf_dir, "conversations")).withColumn("key", F.struct("conv_id", "part"))
+    found = chat.parsed(raw.select("key", "text"), "key", "text")
+    return found.select("key.conv_id", "key.part", F.size("turns").cast("long").alias("n_turns"), F.array_join(F.transform("turns", lambda t: t["role"]), ",").alias("roles"), F.sha2("rendered", 256).alias("rendered_sha256"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_classifier.train(docs, table(spark, sf_dir, "labels"))
     return quality_classifier.classify(docs, model).select("doc_id", T.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_byte_bpe, op3_token_files, op4_substring_dedup, op5_quality_rules, op9_quality_classifier)
+    f.__name__: f for f in (op1_embedding_dedup, op2_byte_bpe, op3_token_files, op4_substring_dedup, op5_quality_rules, op6_language_id, op7_mixing, op8_chat, op9_quality_classifier, op10_simhash)
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_embedding_dedup": r"""
+        WITH RECURSIVE fine AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+        ), reach AS (
+            SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+        ), least AS (
+            SELECT a, min(b) AS component_id FROM reach GROUP BY a
+        )
+        SELECT e.vec_id, CAST((SELECT count(*) FROM links WHERE links.a = e.vec_id) AS BIGINT) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+        FROM embeddings e JOIN least l ON l.a = e.vec_id""",
+    "op8_chat": r"""
+        SELECT conv_id, turn // 512 AS part, count(*) AS n_turns, string_agg(role, ',' ORDER BY turn) AS roles,
+               sha256(string_agg('<|' || role || '|>' || chr(10) || trim(coalesce(text, ''), chr(10)) || chr(10) || '<|end|>' || chr(10), '' ORDER BY turn)) AS rendered_sha256
+        FROM conversations GROUP BY ALL""",
     "op4_substring_dedup": r"""
         WITH texts AS (
             SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
