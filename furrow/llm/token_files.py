@@ -13,6 +13,7 @@ store that Spark writes can hold; (part, seq) orders them by ascending document
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -30,7 +31,7 @@ HEAD = struct.Struct("<4sBBxxIQ")
 SAMPLE = 256  #: ones between select samples
 SHARD_IDS = 1 << 21  #: ids after which a shard is closed
 SHARD = "part int, seq int, doc_ids array<bigint>, n_docs long, n_tokens long, body binary"
-HELD = 400_000  #: words whose ids a worker remembers
+HELD = 600_000  #: words whose ids a worker remembers
 _ones = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
@@ -95,8 +96,19 @@ def unpack(body: bytes) -> tuple[EliasFano, np.ndarray]:
     return EliasFano(n + 1, l, lows, highs, samples), np.frombuffer(body, "<u2" if wide == 1 else "<u4", total, at + 4 * len(samples))
 
 
+def _byte_letters() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if printable, else one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in shown]
+    return {b: 256 + i for i, b in enumerate(rest) if b != 32}
+
+
 class WordIds:
-    """Ids of texts by a tokenizer that drops white space, so that words are encoded apart and remembered."""
+    """Ids of texts by a tokenizer that drops white space, so that words are encoded apart and remembered.
+
+    New words of Latin letters only, nearly all of them, skip the tokenizer's normaliser and splitter, which leave them whole:
+    they are lower-cased, joined, encoded by its BPE model alone, and cut where an id ends a word. The others go the long way.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -104,29 +116,76 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        bare = json.loads(self.tokenizer.to_str()) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
+        self.letters = Tokenizer.from_str(json.dumps(bare))
+        vocabulary = self.letters.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.kept: dict[bytes, bytes] = {}
 
+    def _encode(self, new: list[bytes]) -> None:
+        plain: list[bytes] = []
+        other: list[bytes] = []
+        for w in new:
+            (other if w.translate(None, _letters) else plain).append(w)
+        parts = [plain[i : i + 512] for i in range(0, len(plain), 512)]
+        joined = [b" ".join(p).decode().lower().encode().decode("latin-1").translate(_byte_map) for p in parts]
+        for p, e in zip(parts, self.letters.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            raw, at = ids.tobytes(), 0
+            for w, to in zip(p, (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist(), strict=True):
+                self.kept[w], at = raw[at:to], to
+        for w, e in zip(other, self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False), strict=True):
+            self.kept[w] = np.array(e.ids, "<u4").tobytes()
+
     def _learn(self, found: set[bytes]) -> None:
-        new = [w for w in found if w not in self.kept]
+        new = found.difference(self.kept)
         if len(self.kept) + len(new) > HELD:
-            self.kept, new = {}, list(found)
-        # A final run of "." or "," after an ASCII letter is always a piece of its own.
-        bare = {w: (w[: len(s)], w[len(s) :]) for w in new if (s := w.rstrip(b".,")) and len(s) < len(w) and 97 <= s[-1] <= 122}
-        plain = list({*(w for w in new if w not in bare), *(x for pair in bare.values() for x in pair)} - self.kept.keys())
-        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for w, e in zip(plain, encode([w.decode() for w in plain], add_special_tokens=False), strict=True):
-            self.kept[w] = np.array(e.ids, "<u4").tobytes()
-        for w, (a, b) in bare.items():
+            self.kept, new = {}, found
+        # A final run of marks after an ASCII letter is always a piece of its own.
+        pairs, todo = [], set()
+        for w in new:
+            s = w.rstrip(_marks)
+            if len(s) < len(w) and s and 97 <= s[-1] <= 122:
+                pairs.append((w, s, w[len(s) :]))
+                todo.add(s)
+                todo.add(w[len(s) :])
+            else:
+                todo.add(w)
+        self._encode(list(todo.difference(self.kept)))
+        for w, a, b in pairs:
             self.kept[w] = self.kept[a] + self.kept[b]
 
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        # The tokenizer folds case, so folding ASCII first only makes more words alike.
-        split = [t.lower().split() for t in texts]
-        self._learn({w for ws in split for w in ws})
-        get = self.kept.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
-
-
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that lie one after another, and how many each has.
+
+        The tokenizer folds case, so folding ASCII first only makes more words alike. Within a slice of texts equal words are
+        looked up once; they are told apart by 64-bit hashes and lengths.
+        """
+        low = _fold[data]
+        w = T.words(low, offsets)
+        size = w.end - w.start
+        _, first, inverse = np.unique(T.word_hashes(low, w), return_index=True, return_inverse=True)
+        if (size[first][inverse] != size).any():  # two words of one hash
+            first = inverse = np.arange(len(size))
+        raw = low.tobytes()
+        found = [raw[a:b] for a, b in zip(w.start[first].tolist(), w.end[first].tolist(), strict=True)]
+        self._learn(set(found))
+        parts = list(map(self.kept.__getitem__, found))
+        count = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        begin, flat = np.cumsum(count) - count, np.frombuffer(b"".join(parts), "<u4")
+        each = count[inverse]
+        total = np.concatenate([[0], np.cumsum(each)])
+        ids = flat[np.repeat(begin[inverse] - total[:-1], each) + np.arange(total[-1])]
+        return ids, np.diff(total[w.first])
+
+
+_byte_map = _byte_letters()
+_marks = b".,;:!?#*$%&|<>()"
+_fold = np.arange(256, dtype=np.uint8)
+_fold[65:91] += 32
+#: Bytes of words that hold only a-z and the letters U+00C0 to U+00FF (their first byte is 0xC3; 0x97 and 0xB7 end signs).
+_letters = bytes([*range(97, 123), 0xC3, *(b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7))])
 _loaded: dict[str, WordIds] = {}
 
 
@@ -147,26 +206,23 @@ def write(docs: DataFrame, to: str, vocabulary: str, end_id: int = 1, id_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, seq = word_ids(vocabulary), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
         names: list[pa.Array] = []
-        held: list[bytes] = []
-        total = 0
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def close() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), "<u4")
-            lengths = np.array([len(x) // 4 for x in held])
-            doc_ids = pa.ListArray.from_arrays([0, len(held)], pa.concat_arrays(names))
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int32()), doc_ids, pa.array([len(held)], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([pack(ids, lengths)], pa.binary())], ["part", "seq", "doc_ids", "n_docs", "n_tokens", "body"])
+            ids, lengths = (np.concatenate([x[i] for x in held]) for i in (0, 1))
+            doc_ids = pa.ListArray.from_arrays([0, len(lengths)], pa.concat_arrays(names))
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int32()), doc_ids, pa.array([len(lengths)], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([pack(ids, lengths)], pa.binary())], ["part", "seq", "doc_ids", "n_docs", "n_tokens", "body"])
 
         for b in batches:
-            for a, z in T.slices(T.flat(b.column(2))[1], 1 << 21):
+            data, offsets = T.flat(b.column(2))
+            for a, z in T.slices(offsets, 1 << 21):
                 names.append(b.column(0).slice(a, z - a))
-                more = [x + end for x in encode(b.column(2).slice(a, z - a).to_pylist())]
-                held += more
-                total += sum(map(len, more)) // 4
-                if total >= shard_ids:
+                ids, count = encode(data[offsets[a] : offsets[z]], offsets[a : z + 1] - offsets[a])
+                held.append((np.insert(ids, np.cumsum(count), end_id), count + 1))
+                if sum(len(x) for x, _ in held) >= shard_ids:
                     yield close()
-                    names, held, total, seq = [], [], 0, seq + 1
+                    names, held, seq = [], [], seq + 1
         if held:
             yield close()
 
