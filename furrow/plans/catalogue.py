@@ -1,10 +1,7 @@
-"""Named queries over the driver's tables, and the SQL that says the same."""
+"""All queries of the library over the driver's tables, and the SQL that says the same."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from furrow.plans import fixtures, statistics  # noqa: F401
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES, ORACLE_SQL = fixtures.QUERIES, fixtures.ORACLE_SQL
