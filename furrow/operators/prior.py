@@ -89,8 +89,8 @@ def mine(df: DataFrame, most: int = 200, seed: int = 42, key: str = "pixel") ->
     return side(1).unionByName(side(0))
 
 
-def merge_samples(base: DataFrame, mined: DataFrame, days: list[int]) -> DataFrame:
-    """Both tables on the target's days: point_id, label, crop_name (defaults filled) and doy_<n> to 4 decimals.
+def merge_samples(base: DataFrame, mined: DataFrame, days: list[int], digits: int = 4) -> DataFrame:
+    """Both tables on the target's days: point_id, label, crop_name (defaults filled) and rounded doy_<n>.
 
     A table's own doy_<n> (or month) columns are interpolated to the days; ends are held.
     """
@@ -101,6 +101,6 @@ def merge_samples(base: DataFrame, mined: DataFrame, days: list[int]) -> DataFra
         number = F.xxhash64(F.struct(*df.columns)).cast("string")
         point = F.col("point_id") if "point_id" in df.columns else F.concat(F.lit(prefix), number)
         name = F.col("crop_name") if "crop_name" in df.columns else F.concat(F.lit("作物_"), F.col("label").cast("string"))
-        return df.select(point.cast("string").alias("point_id"), F.col("label").cast("int").alias("label"), name.alias("crop_name"), *(F.round(F.get(s, F.lit(i)), 4).alias(f"doy_{d}") for i, d in enumerate(days)))
+        return df.select(point.cast("string").alias("point_id"), F.col("label").cast("int").alias("label"), name.alias("crop_name"), *(F.round(F.get(s, F.lit(i)), digits).alias(f"doy_{d}") for i, d in enumerate(days)))
 
     return align(base, "BASE_").unionByName(align(mined, "MINED_"))

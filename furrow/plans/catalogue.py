@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from furrow.plans import fixtures, statistics  # noqa: F401
+from furrow.plans import fixtures, places, statistics, timeseries  # noqa: F401
 
 QUERIES, ORACLE_SQL = fixtures.QUERIES, fixtures.ORACLE_SQL

@@ -36,6 +36,33 @@ def r4(x: Column) -> Column:
     return F.round(x, 4) + 0.0
 
 
+def r4n(x: Column) -> Column:
+    """Four decimals; exact halves, which two engines may round differently, are moved up first."""
+    return F.round(x + 1e-9, 4) + 0.0
+
+
+def nudged(sql: str) -> str:
+    """The same in SQL: every `round(x, 4)` becomes `round((x) + 1e-9, 4)`."""
+    out, at = "", 0
+    while (i := sql.find("round(", at)) >= 0:
+        depth, j, comma = 1, i + 6, -1
+        while depth:
+            c = sql[j]
+            depth += (c in "([") - (c in ")]")
+            if c == "," and depth == 1:
+                comma = j
+            j += 1
+        inner = nudged(sql[i + 6 : comma])
+        out += sql[at:i] + (f"round(({inner}) + 1e-9, 4)" if sql[comma:j].replace(" ", "") == ",4)" else f"round({inner}{sql[comma:j]}")
+        at = j
+    return out + sql[at:]
+
+
+def query_n(sql: str | None = None):
+    """query() for results by r4n()."""
+    return query(nudged(sql) if sql else None)
+
+
 # ---- a validation sample and its map, from lineitem
 
 FLAG = "CASE l_returnflag WHEN 'N' THEN 0 WHEN 'A' THEN 1 ELSE 2 END"
