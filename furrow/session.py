@@ -11,6 +11,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+BATCH_ROWS = 1000  #: rows of an Arrow batch
+
+
 def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "furrow") -> SparkSession:
     """A session for tests and the benchmark; clusters bring their own."""
     spark = (
@@ -53,6 +56,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def ship(spark: SparkSession) -> None:
     """Make this package importable on the executors, wherever the driver was started."""
     context = spark.sparkContext
+    # Rows here hold whole documents: batches of Spark's default 10,000 rows would be tens of MB on each side of the socket.
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") in (None, "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if getattr(context, "_furrow_shipped", False):
         return
     here = Path(__file__).resolve().parent
