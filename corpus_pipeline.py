@@ -10,12 +10,20 @@ from furrow import session
 from furrow.llm import byte_bpe, mixing, quality_classifier, simhash, substring_dedup
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """Id, text and all other columns in one, so that no name of theirs can clash."""
+    return docs.select("doc_id", "text", F.struct(F.lit(None).cast("int").alias("_"), *(c for c in docs.columns if c not in ("doc_id", "text"))).alias("_others"))
+
+
+def _unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.select(*(F.col(c) if c in ("doc_id", "text") else F.col(f"_others.`{c}`").alias(c) for c in columns))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; it learns from the labelled ones outside the held-out fold."""
     session.ship(spark)
     model = quality_classifier.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    return quality_classifier.classify(docs, model, keep=others).where("predicted = 1").select(*docs.columns)
+    return _unpacked(quality_classifier.classify(_packed(docs), model, keep=("text", "_others")).where("predicted = 1"), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +42,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the words that a window of 20 repeats from an earlier place."""
     session.ship(spark)
-    done = substring_dedup.dedup(docs, min_words=20, keep=tuple(c for c in docs.columns if c not in ("doc_id", "text")))
-    return done.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    done = substring_dedup.dedup(_packed(docs), min_words=20, keep=("_others",))
+    changed = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("_others.n_chars"))
+    return _unpacked(done.withColumn("_others", F.col("_others").withField("n_chars", changed)), docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,9 +58,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, and whether they decode to its text."""
     session.ship(spark)
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = byte_bpe.encode(docs.withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")), 256)), path, pattern, keep=("lang", "source", "_sha"))
-    decoded = byte_bpe.decode(encoded, path, pattern)
-    return decoded.select("doc_id", "lang", "source", "n_tokens", "ids", (F.sha2("decoded", 256) == F.col("_sha")).alias("round_trip"))
+    hashed = docs.withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
+    done = byte_bpe.encode(hashed, path, pattern, keep=("lang", "source", "_sha"), decoded=True)
+    return done.select("doc_id", "lang", "source", "n_tokens", "ids", (F.sha2("decoded", 256) == F.col("_sha")).alias("round_trip"))
 
 
 STAGES = [("quality classifier", quality), ("simhash near-dedup", near_dedup), ("substring dedup", substrings), ("mixing sources", mix), ("byte-level bpe", tokens)]

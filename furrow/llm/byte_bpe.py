@@ -25,7 +25,7 @@ from furrow.llm import text as T
 
 CHUNK = 1 << 15  #: characters of a chunk
 SURE = 4  #: characters before a cut from which a boundary is sure
-HELD = 300_000  #: pieces whose ids a worker remembers
+HELD = 150_000  #: pieces whose ids a worker remembers
 _loaded: dict[tuple[str, str], "Codec"] = {}
 _safe = re.compile(r"[A-Za-z] (?=[A-Za-z])")
 
@@ -142,22 +142,28 @@ def encode_chunk(c: Codec, text: str, start: int, after: int, head_to: int, plai
     return meet, b"".join(ids), at[head], before[head]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, keep: tuple[str, ...] = ()) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, keep: tuple[str, ...] = (), decoded: bool = False) -> DataFrame:
     """id, the columns in keep, n_tokens (long), ids (binary, little-endian unsigned 32-bit) of every row.
 
+    decoded: also what the ids decode to (binary), in the same pass over the text.
+
     Null and empty texts give no ids; repeated ids and rows each give their row; columns neither named nor kept are not read,
     so clashing names do no harm; an empty table gives no rows. path: a vocabulary file that every executor has.
     """
     rows = docs.select(F.col(id_col).alias("_id"), F.struct(F.lit(0).alias("_"), *keep).alias("_rest"), T.as_bytes(F.col(text_col)).alias("_text"))
     kinds = {c: rows.schema[c].dataType.simpleString() for c in ("_id", "_rest")}
-    schema = f"_id {kinds['_id']}, _rest {kinds['_rest']}, ids binary"
+    schema = f"_id {kinds['_id']}, _rest {kinds['_rest']}, ids binary" + ", decoded binary" * decoded
+
+    def finished(c: Codec, ids: list[bytes]) -> dict[str, pa.Array]:
+        return {"ids": pa.array(ids, pa.binary())} | ({"decoded": pa.array([c.decode(x) for x in ids], pa.binary())} if decoded else {})
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         for b in batches:
-            for a, z in T.slices(T.flat(b.column(2))[1], 1 << 22):
+            for a, z in T.slices(T.flat(b.column(2))[1], 1 << 21):
                 part = b.slice(a, z - a)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([c.encode(x) for x in part.column(2).to_pylist()], pa.binary())], ["_id", "_rest", "ids"])
+                done = finished(c, [c.encode(x) for x in part.column(2).to_pylist()])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *done.values()], ["_id", "_rest", *done])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -191,7 +197,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
             out.append(ids[4 * skip :])
             meet = t["meet"][i].as_py()
         first = t.slice(0, 1).combine_chunks()
-        return pa.table({"_id": pa.concat_arrays([first["_id"].combine_chunks()] * copies), "_rest": pa.concat_arrays([T.loosen(first["_rest"])] * copies), "ids": pa.array([b"".join(out)] * copies, pa.binary())})
+        return pa.table({"_id": pa.concat_arrays([first["_id"].combine_chunks()] * copies), "_rest": pa.concat_arrays([T.loosen(first["_rest"])] * copies), **finished(codec(path, pattern), [b"".join(out)] * copies)})
 
     is_long = F.octet_length("_text") > chunk
     short = rows.where(~is_long).mapInArrow(whole, schema)
@@ -199,7 +205,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     parts = parts.mapInArrow(cut, f"_id {kinds['_id']}, _rest {kinds['_rest']}, _h long, k long, a long, after long, head_to long, plain boolean, piece binary")
     parts = parts.repartition("_id", "_h", "k").mapInArrow(one, f"_id {kinds['_id']}, _rest {kinds['_rest']}, _h long, k long, meet long, ids binary, at binary, before binary")
     out = short.unionByName(parts.groupBy("_id", "_h").applyInArrow(stitch, schema))
-    return out.select(F.col("_id").alias(id_col), *(F.col(f"_rest.`{c}`").alias(c) for c in keep), F.expr("CAST(octet_length(ids) DIV 4 AS BIGINT)").alias("n_tokens"), "ids")
+    return out.select(F.col("_id").alias(id_col), *(F.col(f"_rest.`{c}`").alias(c) for c in keep), F.expr("CAST(octet_length(ids) DIV 4 AS BIGINT)").alias("n_tokens"), "ids", *(["decoded"] if decoded else []))
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids", to: str = "decoded") -> DataFrame:

@@ -77,13 +77,18 @@ def classify(docs: DataFrame, model: Ranker, id_col: str = "doc_id", text_col: s
     Null texts are scored as empty ones; repeated ids and rows give one row each; columns that are neither named nor kept are
     not read, so their names cannot clash; an empty table gives no rows.
     """
-    texts = docs.select(id_col, T.as_bytes(F.col(text_col)).alias("_text"), F.struct(F.lit(0).alias("_"), *keep).alias("_rest"))
+    # a kept text goes to the workers once
+    carried = text_col in keep
+    bare = F.lit(None).cast("binary") if carried else T.as_bytes(F.col(text_col))
+    texts = docs.select(id_col, bare.alias("_text"), F.struct(F.lit(0).alias("_"), *keep).alias("_rest"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = stats.measure(b.column(1))
-            score = model.score(np.stack([found[k] for k in stats.SHARES], 1)) if b.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(score, pa.float64()), pa.array((score >= ACCEPT).astype(np.int32))], ["_id", "_rest", "_score", "_predicted"])
+            column = b.column(2).field(text_col) if carried else b.column(1)
+            for a, z in T.slices(T.flat(column)[1], 4 << 20):
+                found = stats.measure(column.slice(a, z - a))
+                score = model.score(np.stack([found[k] for k in stats.SHARES], 1))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), b.column(2).slice(a, z - a), pa.array(score, pa.float64()), pa.array((score >= ACCEPT).astype(np.int32))], ["_id", "_rest", "_score", "_predicted"])
 
     kind, rest = (texts.schema[c].dataType.simpleString() for c in (id_col, "_rest"))
     out = texts.mapInArrow(run, f"_id {kind}, _rest {rest}, _score double, _predicted int")

@@ -29,9 +29,8 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), path, pattern)
-    decoded = byte_bpe.decode(encoded, path, pattern)
-    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    done = byte_bpe.encode(table(spark, sf_dir, "documents"), path, pattern, decoded=True)
+    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

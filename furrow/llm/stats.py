@@ -87,6 +87,7 @@ def _slice(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 
 def measure(column: pa.Array) -> dict[str, np.ndarray]:
     """All statistics of the texts of one Arrow column."""
+    T.thrifty()
     data, offsets = T.flat(column)
     parts = [_slice(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in T.slices(offsets)]
     return {k: np.concatenate([p[k] for p in parts]) if parts else np.zeros(0) for k in (*COUNTS, *SHARES)}

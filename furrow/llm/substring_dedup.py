@@ -52,6 +52,7 @@ class Block:
     """The windows of one block's documents, which every pass works out anew from the same rows."""
 
     def __init__(self, t: pa.Table, lengths: list[int], buckets: int) -> None:
+        T.thrifty()
         texts = t["_text"].combine_chunks()
         missing = t["_id"].combine_chunks().is_null().to_numpy(zero_copy_only=False)
         ids = t["_id"].combine_chunks().fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
@@ -130,6 +131,7 @@ def _verdicts(t: pa.Table) -> dict[int, dict[int, bytes]]:
 
 def _judge(t: pa.Table, level: int, last: bool) -> pa.Table:
     """One bucket: a bit for each entry of each block: it occurs in other blocks too; at the last level: it is the first."""
+    T.thrifty()
     parts = [np.frombuffer(x, np.uint64) for x in t["hashes"].to_pylist()]
     h = np.concatenate(parts)
     if last:

@@ -20,9 +20,25 @@ IS_WORD = np.ones(256, dtype=bool)
 IS_WORD[list(SPACES)] = False
 #: Odd multipliers of the polynomial hashes, taken mod 2**64.
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93
+_thrifty = False
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def thrifty() -> None:
+    """Let a worker give memory back: large arrays get pages of their own, and free ones go. Does nothing without glibc."""
+    import ctypes
+
+    global _thrifty
+    try:
+        libc = ctypes.CDLL(None)
+        if not _thrifty:
+            libc.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD, which else grows with what is freed
+            _thrifty = True
+        libc.malloc_trim(0)
+    except (OSError, AttributeError):
+        _thrifty = True
+
+
 def as_bytes(column: Column) -> Column:
     """UTF-8 bytes of a text column, null as empty."""
     return F.coalesce(column.cast("binary"), F.lit("").cast("binary"))
@@ -52,13 +68,14 @@ def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def loosen(column: pa.Array | pa.ChunkedArray) -> pa.Array:
-    """A struct column whose fields may be null, as Spark's schema strings say."""
+    """A struct column whose fields, at any depth of structs, may be null, as Spark's schema strings say."""
     if isinstance(column, pa.ChunkedArray):
         column = pa.concat_arrays(column.chunks)
-    return pa.StructArray.from_arrays(column.flatten(), fields=[pa.field(f.name, f.type, True) for f in column.type])
+    parts = [loosen(x) if pa.types.is_struct(x.type) else x for x in column.flatten()]
+    return pa.StructArray.from_arrays(parts, fields=[pa.field(f.name, x.type, True) for f, x in zip(column.type, parts, strict=True)])
 
 
-def slices(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, most: int = (1 << 20) - 1) -> Iterator[tuple[int, int]]:
     """Ranges of whole texts of about `most` bytes, a longer text alone."""
     a, n = 0, len(offsets) - 1
     while a < n:
