@@ -45,7 +45,7 @@ class Ranker:
 def fit(x: np.ndarray, y: np.ndarray, pairs: int = 60_000, rounds: int = 300, ridge: float = 1e-3, seed: int = 7) -> Ranker:
     """Learn from labelled statistics. Without both labels every document scores above the threshold."""
     f = features(x)
-    width = f.shape[1] if len(f) else 2 * len(stats.SHARES)
+    width = f.shape[1]
     if len(f) == 0 or y.min() == y.max():
         return Ranker(np.zeros(width), np.ones(width), np.zeros(width), -1.0, 1.0)
     mean, scale = f.mean(0), np.maximum(f.std(0), 1e-3)
