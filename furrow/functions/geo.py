@@ -20,6 +20,11 @@ PROJECTED = ("PROJCS", "PROJCRS", "PROJECTED", "UTM", "TRANSVERSE_MERCATOR", "LA
 GEOGRAPHIC = ("4326", "4490", "CRS84", "CGCS2000", "GCS", "GEOGCS", "GEOGCRS", "DEGREE", "LONGITUDE", "LATITUDE", "EPSG:4326", "OGC:CRS84", "WGS84")
 
 
+def let(x: Column, f) -> Column:
+    """f of a value that is worked out once, however often f uses it: keeps long formulas small."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
 def _meridian(zone: Column) -> Column:
     return F.radians(6.0 * (zone - 1) - 180.0 + 3.0)
 
@@ -30,17 +35,24 @@ def utm_to_wgs84(east: Column, north: Column, zone: Column, northern: Column) ->
     e2, ep2 = E2, EP2
     mu = y / SCALE / (SEMI_MAJOR * (1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256))
     e1 = (1 - (1 - e2) ** 0.5) / (1 + (1 - e2) ** 0.5)
-    foot = mu + sum(k * F.sin(n * mu) for n, k in ((2, 3 * e1 / 2 - 27 * e1**3 / 32), (4, 21 * e1**2 / 16 - 55 * e1**4 / 32), (6, 151 * e1**3 / 96), (8, 1097 * e1**4 / 512)))
-    s, c, t = F.sin(foot), F.cos(foot), F.tan(foot)
-    w = 1 - e2 * s * s
-    n1, r1 = SEMI_MAJOR / F.sqrt(w), SEMI_MAJOR * (1 - e2) / F.pow(w, F.lit(1.5))
-    tt, cc, d = t * t, ep2 * c * c, x / (n1 * SCALE)
-    p = lambda k: F.pow(d, F.lit(float(k)))
-    lat = foot - n1 * t / r1 * (
-        p(2) / 2 - (5 + 3 * tt + 10 * cc - 4 * cc * cc - 9 * ep2) * p(4) / 24 + (61 + 90 * tt + 298 * cc + 45 * tt * tt - 252 * ep2 - 3 * cc * cc) * p(6) / 720
-    )
-    lon = _meridian(zone) + (d - (1 + 2 * tt + cc) * p(3) / 6 + (5 - 2 * cc + 28 * tt - 3 * cc * cc + 8 * ep2 + 24 * tt * tt) * p(5) / 120) / c
-    return F.struct(F.degrees(lon).alias("lon"), F.degrees(lat).alias("lat"))
+    def footpoint(m: Column) -> Column:
+        terms = ((2, 3 * e1 / 2 - 27 * e1**3 / 32), (4, 21 * e1**2 / 16 - 55 * e1**4 / 32), (6, 151 * e1**3 / 96), (8, 1097 * e1**4 / 512))
+        return m + sum(k * F.sin(n * m) for n, k in terms)
+
+    def basis(foot: Column) -> Column:
+        s, c, t = F.sin(foot), F.cos(foot), F.tan(foot)
+        w = 1 - e2 * s * s
+        n1 = SEMI_MAJOR / F.sqrt(w)
+        return F.struct(foot.alias("foot"), c.alias("c"), (n1 * t / (SEMI_MAJOR * (1 - e2) / F.pow(w, F.lit(1.5)))).alias("k"), (t * t).alias("tt"), (ep2 * c * c).alias("cc"), (x / (n1 * SCALE)).alias("d"))
+
+    def place(q: Column) -> Column:
+        tt, cc = q["tt"], q["cc"]
+        p = lambda k: F.pow(q["d"], F.lit(float(k)))
+        lat = q["foot"] - q["k"] * (p(2) / 2 - (5 + 3 * tt + 10 * cc - 4 * cc * cc - 9 * ep2) * p(4) / 24 + (61 + 90 * tt + 298 * cc + 45 * tt * tt - 252 * ep2 - 3 * cc * cc) * p(6) / 720)
+        lon = _meridian(zone) + (q["d"] - (1 + 2 * tt + cc) * p(3) / 6 + (5 - 2 * cc + 28 * tt - 3 * cc * cc + 8 * ep2 + 24 * tt * tt) * p(5) / 120) / q["c"]
+        return F.struct(F.degrees(lon).alias("lon"), F.degrees(lat).alias("lat"))
+
+    return let(let(let(mu, footpoint), basis), place)
 
 
 def wgs84_to_utm(lon: Column, lat: Column, zone: Column) -> Column:

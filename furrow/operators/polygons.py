@@ -129,7 +129,7 @@ def signed_area(ring: Column, x: str = "c", y: str = "r") -> Column:
 
 
 def counter_clockwise(ring: Column, x: str = "x", y: str = "y") -> Column:
-    return F.when(signed_area(ring, x, y) < 0, F.reverse(ring)).otherwise(ring)
+    return geo.let(ring, lambda p: F.when(signed_area(p, x, y) < 0, F.reverse(p)).otherwise(p))
 
 
 def to_map(ring: Column, x0: float, y0: float, step: float) -> Column:
@@ -139,8 +139,8 @@ def to_map(ring: Column, x0: float, y0: float, step: float) -> Column:
 
 def to_wgs84(ring: Column, zone: int, northern: bool = True) -> Column:
     def one(p: Column) -> Column:
-        g = geo.utm_to_wgs84(p["x"], p["y"], F.lit(zone), F.lit(northern))
-        return F.struct(F.round(g["lon"], 6).alias("x"), F.round(g["lat"], 6).alias("y"))
+        place = geo.utm_to_wgs84(p["x"], p["y"], F.lit(zone), F.lit(northern))
+        return geo.let(place, lambda g: F.struct(F.round(g["lon"], 6).alias("x"), F.round(g["lat"], 6).alias("y")))
 
     return F.transform(ring, one)
 

@@ -21,10 +21,11 @@ FEATURES = ("max", "min", "range", "std", "grad_max", "grad_min", "grad_abs", "s
 def featured(df: DataFrame, ndvi: str, n: int, smooth: bool = False) -> tuple[DataFrame, list[str]]:
     """Adds t0..t<n-1> and the named features of a series column; gives the columns in order."""
     v = series.smooth(F.col(ndvi), n) if smooth else series.fill_gaps(F.col(ndvi))
-    base = df.withColumn(ndvi, v)
+    # written between the steps, so that no later expression repeats an earlier one
+    base = session.written(df.withColumn(ndvi, v), "series")
     all_features = series.features(F.col(ndvi), n)
     columns = {f"t{i}": F.get(F.col(ndvi), F.lit(i)) for i in range(n)} | {f"f_{k}": all_features[k] for k in FEATURES}
-    return base.withColumns(columns), list(columns)
+    return session.written(base.withColumns(columns), "features"), list(columns)
 
 
 def train(spark: SparkSession, points: DataFrame, config: dict, n: int) -> tuple[classify.Scorer, list[str]]:
@@ -33,7 +34,6 @@ def train(spark: SparkSession, points: DataFrame, config: dict, n: int) -> tuple
     s = points.withColumn("ndvi", F.array(*(F.col(c).cast("double") for c in days)))
     x, columns = featured(s, "ndvi", n)
     c = config["classification"]
-    x = x.cache()
     oof = classify.cross_validate(x, columns, "point_id", c["model_type"], min(20, c["n_estimators"]), min(8, c["max_depth"]), seed=c["random_state"])
     scorer = classify.fit(x, columns, c["model_type"], c["n_estimators"], c["max_depth"], c["random_state"])
     if 0 in scorer.labels:
