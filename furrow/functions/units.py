@@ -13,6 +13,11 @@ MU_PER_HA = 15.0
 WAN_MU = 10000.0
 
 
+def rounded(x: Column, digits: int = 1, hair: float = 1e-9) -> Column:
+    """Round halves up. An area that should end in a half may lie a hair below it in binary, after long sums by more than one."""
+    return F.round(x + hair, digits)
+
+
 def sqm_to_mu(x: Column) -> Column:
     return x * F.lit(MU_PER_SQM)
 

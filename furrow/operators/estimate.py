@@ -109,7 +109,7 @@ def areas(p: DataFrame, weights: DataFrame, resolution: float = 10.0) -> DataFra
     by = p.groupBy(F.col("j").alias("code")).agg(F.sum("p").alias("share"), F.sqrt(F.sum(spread)).alias("share_se"))
     a = by.join(F.broadcast(weights), "code").where("code <> 0")
     r1 = lambda c: F.round(c, 1)
-    a = a.select("code", "pixels", "weight", "share", "share_se", r1(F.col("weight") * mu).alias("naive_mu"), r1(F.col("share") * mu).alias("calibrated_mu"), (F.col("share") * mu).alias("_c"), (F.col("share_se") * mu).alias("_s"))
+    a = a.select("code", "pixels", "weight", "share", "share_se", units.rounded(F.col("weight") * mu).alias("naive_mu"), r1(F.col("share") * mu).alias("calibrated_mu"), (F.col("share") * mu).alias("_c"), (F.col("share_se") * mu).alias("_s"))
     bias = F.col("naive_mu") - F.col("calibrated_mu")
     return a.select(
         "code", "pixels", "naive_mu", F.round(F.col("naive_mu") / units.MU_PER_HA, 2).alias("naive_ha"), "calibrated_mu", F.round(F.col("calibrated_mu") / units.MU_PER_HA, 2).alias("calibrated_ha"),
@@ -211,7 +211,7 @@ def neyman(weights: DataFrame, legend: dict[int, str], budget: int = 150, least:
     rest = counts.agg((F.lit(budget) - F.sum("floored")).alias("rest"), F.max_by("code", F.struct("weight", -F.col("code"))).alias("dominant"))
     final = F.when(F.col("code") == F.col("dominant"), F.greatest(F.lit(least).cast("long"), F.col("floored") + F.col("rest"))).otherwise(F.col("floored"))
     return counts.crossJoin(F.broadcast(rest)).select(
-        "code", "name", F.round(F.col("weight") * F.col("total") * F.lit(resolution * resolution * units.MU_PER_SQM), 1).alias("map_area_mu"), F.round("weight", 4).alias("weight"), F.round("sigma", 3).alias("sigma"),
+        "code", "name", units.rounded(F.col("weight") * F.col("total") * F.lit(resolution * resolution * units.MU_PER_SQM)).alias("map_area_mu"), F.round("weight", 4).alias("weight"), F.round("sigma", 3).alias("sigma"),
         "proportional_n", "neyman_n", final.alias("recommended_n"), F.round(final / F.lit(float(budget)) * 100, 1).alias("share_pct"),
     )
 

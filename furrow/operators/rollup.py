@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from furrow.functions import units
+
+HAIR = 1e-6
+
 
 def _share(total: str, least: float):
     return F.col("area_mu") / F.greatest(total, F.lit(least)) * 100
@@ -15,7 +19,7 @@ def province_rollup(parcels: DataFrame, report: bool = False) -> DataFrame:
     by = parcels.groupBy("province").agg(F.count("*").alias("parcels"), F.sum("area_mu").alias("area_mu"), F.sum("area_ha").alias("area_ha"), F.avg("purity").alias("mean_purity"), F.avg("confidence").alias("mean_confidence"))
     whole = parcels.agg(F.coalesce(F.sum("area_mu"), F.lit(0.0)).alias("_t"))
     joined = by.crossJoin(F.broadcast(whole))  # one row
-    head = ["province", "parcels", F.round("area_mu", 2).alias("area_mu"), F.round("area_ha", 2).alias("area_ha")]
+    head = ["province", "parcels", units.rounded(F.col("area_mu"), 2, HAIR).alias("area_mu"), units.rounded(F.col("area_ha"), 2, HAIR).alias("area_ha")]
     if report:
         share = _share("_t", 1.0)
         out = joined.select(*head, F.round(share, 1).alias("share_pct"), F.round(F.least(F.lit(100.0), share * 2.2), 1).alias("bar_pct"))
@@ -25,7 +29,7 @@ def province_rollup(parcels: DataFrame, report: bool = False) -> DataFrame:
 
 
 def crop_summary(parcels: DataFrame) -> DataFrame:
-    return parcels.groupBy("crop_code").agg(F.count("*").alias("parcels"), F.round(F.sum("area_mu"), 1).alias("area_mu"))
+    return parcels.groupBy("crop_code").agg(F.count("*").alias("parcels"), units.rounded(F.sum("area_mu"), 1, HAIR).alias("area_mu"))
 
 
 def map_kpis(parcels: DataFrame) -> DataFrame:
@@ -33,7 +37,7 @@ def map_kpis(parcels: DataFrame) -> DataFrame:
     good = F.col("machinery_suitability").contains("优") | F.col("machinery_suitability").contains("良")
     named = F.when(F.col("province") != "", F.col("province"))
     return parcels.agg(
-        F.count("*").alias("parcels"), F.round(F.coalesce(F.sum("area_mu"), F.lit(0.0)), 1).alias("area_mu"), F.round(F.coalesce(F.sum("area_ha"), F.lit(0.0)), 2).alias("area_ha"),
+        F.count("*").alias("parcels"), units.rounded(F.coalesce(F.sum("area_mu"), F.lit(0.0)), 1, HAIR).alias("area_mu"), units.rounded(F.coalesce(F.sum("area_ha"), F.lit(0.0)), 2, HAIR).alias("area_ha"),
         F.round(F.count_if(good) / F.greatest(F.count("*"), F.lit(1)) * 100, 1).alias("machinery_pct"),
         F.round(F.coalesce(F.avg("center_lon"), F.lit(117.001)), 5).alias("center_lon"), F.round(F.coalesce(F.avg("center_lat"), F.lit(37.946)), 5).alias("center_lat"),
         F.count_distinct(named).alias("provinces"), F.array_join(F.sort_array(F.collect_set(named)), ",").alias("province_list"),

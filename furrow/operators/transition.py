@@ -19,7 +19,7 @@ def transition_matrix(pairs: DataFrame, codes: list[int], resolution: float = 10
     counted = pairs.groupBy(F.col("early").cast("int").alias("early"), F.col("late").cast("int").alias("late")).agg(F.count("*").alias("pixels"))
     shape = _all(codes=codes, spark=pairs.sparkSession, names=("early", "late"))
     n = F.coalesce("pixels", F.lit(0))
-    return shape.join(counted, ["early", "late"], "left").select("early", "late", n.cast("long").alias("pixels"), F.round(n * F.lit(resolution * resolution * units.MU_PER_SQM), 1).alias("mu"))
+    return shape.join(counted, ["early", "late"], "left").select("early", "late", n.cast("long").alias("pixels"), units.rounded(n * F.lit(resolution * resolution * units.MU_PER_SQM)).alias("mu"))
 
 
 def transition_table(matrix: DataFrame, legend: dict[int, str], early: int = 2020, late: int = 2023) -> DataFrame:
@@ -34,7 +34,7 @@ def compliance(matrix: DataFrame, legend: dict[int, str], early: int = 2020, lat
 
     The grain record needs both kinds of crop in the legend. Soy is what the legend names so, and soy_codes.
     """
-    mu = lambda cond: F.round(F.sum(F.when(cond, F.col("pixels")).otherwise(0)) * F.lit(resolution * resolution * units.MU_PER_SQM), 1)
+    mu = lambda cond: units.rounded(F.sum(F.when(cond, F.col("pixels")).otherwise(0)) * F.lit(resolution * resolution * units.MU_PER_SQM))
     soy = [c for c, name in legend.items() if "豆" in name or c in soy_codes]
     grain = [c for c in legend if c != 0 and c not in soy]
     sums = [mu((F.col("early") > 0) & (F.col("late") == 0)).alias("fallow"), *([mu(F.col("early").isin(grain) & F.col("late").isin(soy)).alias("grain")] if soy and grain else []), *(mu((F.col("early") == c) & (F.col("late") == c)).alias(f"mono_{c}") for c in legend if c)]

@@ -144,17 +144,17 @@ def parcels(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query(f"SELECT province, count(*) AS parcels, round(sum(area_mu), 2) AS area_mu, round(sum(area_ha), 2) AS area_ha, round(avg(purity), 3) AS mean_purity, round(avg(confidence), 3) AS mean_confidence, round(sum(area_mu) / greatest((SELECT sum(area_mu) FROM ({PARCEL_SQL})), 1e-4) * 100, 2) AS area_share_pct FROM ({PARCEL_SQL}) GROUP BY province")
+@query(f"SELECT province, count(*) AS parcels, round(1e-6 + sum(area_mu), 2) AS area_mu, round(1e-6 + sum(area_ha), 2) AS area_ha, round(avg(purity), 3) AS mean_purity, round(avg(confidence), 3) AS mean_confidence, round(sum(area_mu) / greatest((SELECT sum(area_mu) FROM ({PARCEL_SQL})), 1e-4) * 100, 2) AS area_share_pct FROM ({PARCEL_SQL}) GROUP BY province")
 def province_rollup(spark: SparkSession, d: str) -> DataFrame:
     return rollup.province_rollup(parcels(spark, d))
 
 
-@query(f"WITH p AS (SELECT province, count(*) AS parcels, sum(area_mu) AS m, sum(area_ha) AS h, sum(area_mu) / (SELECT sum(area_mu) FROM ({PARCEL_SQL})) * 100 AS s FROM ({PARCEL_SQL}) GROUP BY province) SELECT province, parcels, round(m, 2) AS area_mu, round(h, 2) AS area_ha, round(s, 1) AS share_pct, round(least(100, s * 2.2), 1) AS bar_pct FROM p")
+@query(f"WITH p AS (SELECT province, count(*) AS parcels, sum(area_mu) AS m, sum(area_ha) AS h, sum(area_mu) / (SELECT sum(area_mu) FROM ({PARCEL_SQL})) * 100 AS s FROM ({PARCEL_SQL}) GROUP BY province) SELECT province, parcels, round(1e-6 + m, 2) AS area_mu, round(1e-6 + h, 2) AS area_ha, round(s, 1) AS share_pct, round(least(100, s * 2.2), 1) AS bar_pct FROM p")
 def province_report(spark: SparkSession, d: str) -> DataFrame:
     return rollup.province_rollup(parcels(spark, d), report=True)
 
 
-@query(f"SELECT crop_code, count(*) AS parcels, round(sum(area_mu), 1) AS area_mu FROM ({PARCEL_SQL}) GROUP BY 1")
+@query(f"SELECT crop_code, count(*) AS parcels, round(1e-6 + sum(area_mu), 1) AS area_mu FROM ({PARCEL_SQL}) GROUP BY 1")
 def crop_summary(spark: SparkSession, d: str) -> DataFrame:
     return rollup.crop_summary(parcels(spark, d))
 
@@ -164,7 +164,7 @@ def top10_parcels(spark: SparkSession, d: str) -> DataFrame:
     return rollup.top_parcels(parcels(spark, d)).select("parcel_id", "area_mu", "province")
 
 
-@query(f"SELECT count(*) AS parcels, round(sum(area_mu), 1) AS area_mu, round(sum(area_ha), 2) AS area_ha, round(CAST(count(CASE WHEN machinery_suitability LIKE '%优%' OR machinery_suitability LIKE '%良%' THEN 1 END) AS DOUBLE) / count(*) * 100, 1) AS machinery_pct, round(avg(center_lon), 5) AS center_lon, round(avg(center_lat), 5) AS center_lat, count(DISTINCT province) AS provinces, array_to_string(list_sort(list(DISTINCT province)), ',') AS province_list FROM ({PARCEL_SQL})")
+@query(f"SELECT count(*) AS parcels, round(1e-6 + sum(area_mu), 1) AS area_mu, round(1e-6 + sum(area_ha), 2) AS area_ha, round(CAST(count(CASE WHEN machinery_suitability LIKE '%优%' OR machinery_suitability LIKE '%良%' THEN 1 END) AS DOUBLE) / count(*) * 100, 1) AS machinery_pct, round(avg(center_lon), 5) AS center_lon, round(avg(center_lat), 5) AS center_lat, count(DISTINCT province) AS provinces, array_to_string(list_sort(list(DISTINCT province)), ',') AS province_list FROM ({PARCEL_SQL})")
 def map_kpis(spark: SparkSession, d: str) -> DataFrame:
     return rollup.map_kpis(parcels(spark, d))
 

@@ -76,7 +76,7 @@ SPREAD = "CASE WHEN n_i > 1 THEN w_i * w_i * cond * (1 - cond) / (n_i - 1) ELSE
 AREA = f"""SELECT CAST(code AS INT) AS code, pixels, naive_mu, round(naive_mu / 15, 2) AS naive_ha, calibrated_mu, round(calibrated_mu / 15, 2) AS calibrated_ha, round(s, 1) AS se_mu,
         round(s / greatest(c, 1e-6) * 100, 2) AS cv_pct, round(greatest(0, c - 1.96 * s), 1) AS ci_low_mu, round(c + 1.96 * s, 1) AS ci_high_mu,
         round(naive_mu - calibrated_mu, 1) AS bias_mu, round((naive_mu - calibrated_mu) / greatest(calibrated_mu, 1e-6) * 100, 1) AS bias_pct
-    FROM (SELECT a.code, w.pixels, round(w.weight * (w.total * CAST({MU} AS DOUBLE)), 1) AS naive_mu, round(a.share * (w.total * CAST({MU} AS DOUBLE)), 1) AS calibrated_mu, a.share * (w.total * CAST({MU} AS DOUBLE)) AS c, a.se * (w.total * CAST({MU} AS DOUBLE)) AS s
+    FROM (SELECT a.code, w.pixels, round(1e-9 + w.weight * (w.total * CAST({MU} AS DOUBLE)), 1) AS naive_mu, round(a.share * (w.total * CAST({MU} AS DOUBLE)), 1) AS calibrated_mu, a.share * (w.total * CAST({MU} AS DOUBLE)) AS c, a.se * (w.total * CAST({MU} AS DOUBLE)) AS s
           FROM (SELECT j AS code, sum(p) AS share, sqrt(sum({SPREAD})) AS se FROM p GROUP BY j) a JOIN w ON w.code = a.code WHERE a.code <> 0)"""
 
 
@@ -164,7 +164,7 @@ def neyman_sql(budget: int, least: int) -> str:
         n AS (SELECT *, CAST(round_even({budget} * weight, 0) AS BIGINT) AS proportional_n, CAST(round_even({budget} * (weight * sigma / sum(weight * sigma) OVER ()), 0) AS BIGINT) AS neyman_n FROM w),
         f AS (SELECT *, greatest(neyman_n, {least}) AS floored, code = first_value(code) OVER (ORDER BY weight DESC, code) AS dominant FROM n),
         z AS (SELECT *, CASE WHEN dominant THEN greatest({least}, floored + {budget} - sum(floored) OVER ()) ELSE floored END AS recommended_n FROM f)
-        SELECT CAST(code AS INT) AS code, name, round(weight * ((SELECT count(*) FROM pix) * CAST({MU} AS DOUBLE)), 1) AS map_area_mu, round(weight, 4) AS weight, round(sigma, 3) AS sigma, proportional_n, neyman_n, CAST(recommended_n AS BIGINT) AS recommended_n, round(CAST(recommended_n AS DOUBLE) / {budget} * 100, 1) AS share_pct FROM z"""
+        SELECT CAST(code AS INT) AS code, name, round(1e-9 + weight * ((SELECT count(*) FROM pix) * CAST({MU} AS DOUBLE)), 1) AS map_area_mu, round(weight, 4) AS weight, round(sigma, 3) AS sigma, proportional_n, neyman_n, CAST(recommended_n AS BIGINT) AS recommended_n, round(CAST(recommended_n AS DOUBLE) / {budget} * 100, 1) AS share_pct FROM z"""
 
 
 @query(neyman_sql(160, 20))
@@ -185,19 +185,19 @@ def _transitions(spark: SparkSession, d: str) -> DataFrame:
     return transition.transition_matrix(pairs, X.CODES)
 
 
-@query(PAIRS + f" SELECT CAST(a.code AS INT) AS early, CAST(b.code AS INT) AS late, count(p.early) AS pixels, round(count(p.early) * CAST({MU} AS DOUBLE), 1) AS mu FROM (VALUES {_values(X.CODES)}) AS a(code) CROSS JOIN (VALUES {_values(X.CODES)}) AS b(code) LEFT JOIN pair p ON p.early = a.code AND p.late = b.code GROUP BY 1, 2")
+@query(PAIRS + f" SELECT CAST(a.code AS INT) AS early, CAST(b.code AS INT) AS late, count(p.early) AS pixels, round(1e-9 + count(p.early) * CAST({MU} AS DOUBLE), 1) AS mu FROM (VALUES {_values(X.CODES)}) AS a(code) CROSS JOIN (VALUES {_values(X.CODES)}) AS b(code) LEFT JOIN pair p ON p.early = a.code AND p.late = b.code GROUP BY 1, 2")
 def transition_matrix(spark: SparkSession, d: str) -> DataFrame:
     return _transitions(spark, d)
 
 
-@query(PAIRS + " SELECT '2020年_' || (CASE early WHEN 0 THEN '背景/非农田' WHEN 1 THEN '玉米' WHEN 2 THEN '小麦' ELSE '大豆' END) AS class, " + ", ".join(f"round(count(CASE WHEN late = {c} THEN 1 END) * CAST({MU} AS DOUBLE), 1) AS to_{c}" for c in X.CODES) + " FROM pair GROUP BY early")
+@query(PAIRS + " SELECT '2020年_' || (CASE early WHEN 0 THEN '背景/非农田' WHEN 1 THEN '玉米' WHEN 2 THEN '小麦' ELSE '大豆' END) AS class, " + ", ".join(f"round(1e-9 + count(CASE WHEN late = {c} THEN 1 END) * CAST({MU} AS DOUBLE), 1) AS to_{c}" for c in X.CODES) + " FROM pair GROUP BY early")
 def transition_table(spark: SparkSession, d: str) -> DataFrame:
     wide = transition.transition_table(_transitions(spark, d), X.LEGEND).withColumnsRenamed({f"2023年_{X.LEGEND[c]}": f"to_{c}" for c in X.CODES})
     return wide.where(F.col("to_0") + F.col("to_1") + F.col("to_2") + F.col("to_3") > 0)
 
 
-@query(PAIRS + f""", s AS (SELECT round(count(CASE WHEN early IN (1, 2) AND late = 3 THEN 1 END) * CAST({MU} AS DOUBLE), 1) AS g, round(count(CASE WHEN early = 1 AND late = 1 THEN 1 END) * CAST({MU} AS DOUBLE), 1) AS m1, round(count(CASE WHEN early = 2 AND late = 2 THEN 1 END) * CAST({MU} AS DOUBLE), 1) AS m2,
-        round(count(CASE WHEN early = 3 AND late = 3 THEN 1 END) * CAST({MU} AS DOUBLE), 1) AS m3, round(count(CASE WHEN early > 0 AND late = 0 THEN 1 END) * CAST({MU} AS DOUBLE), 1) AS f FROM pair)
+@query(PAIRS + f""", s AS (SELECT round(1e-9 + count(CASE WHEN early IN (1, 2) AND late = 3 THEN 1 END) * CAST({MU} AS DOUBLE), 1) AS g, round(1e-9 + count(CASE WHEN early = 1 AND late = 1 THEN 1 END) * CAST({MU} AS DOUBLE), 1) AS m1, round(1e-9 + count(CASE WHEN early = 2 AND late = 2 THEN 1 END) * CAST({MU} AS DOUBLE), 1) AS m2,
+        round(1e-9 + count(CASE WHEN early = 3 AND late = 3 THEN 1 END) * CAST({MU} AS DOUBLE), 1) AS m3, round(1e-9 + count(CASE WHEN early > 0 AND late = 0 THEN 1 END) * CAST({MU} AS DOUBLE), 1) AS f FROM pair)
     SELECT '🌾 粮豆健康轮作' AS kind, g AS mu FROM s UNION ALL SELECT '⚠️ 连作重茬地块 (玉米)', m1 FROM s WHERE m1 > 0 UNION ALL SELECT '⚠️ 连作重茬地块 (小麦)', m2 FROM s WHERE m2 > 0
     UNION ALL SELECT '⚠️ 连作重茬地块 (大豆)', m3 FROM s WHERE m3 > 0 UNION ALL SELECT '🚨 疑似耕地撂荒/休耕', f FROM s""")
 def rotation_compliance(spark: SparkSession, d: str) -> DataFrame:
