@@ -140,7 +140,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~T.held_out(F.col(id_col)))
     sized = known.select(F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("_id"), F.xxhash64(id_col, F.lit("language")).alias("_h"), F.octet_length(text_col).alias("_n"))
     order = [(F.col("_n") > MOST_BYTES // 16).cast("int"), "_h", "_id", "_n"]
-    ranked = sized.withColumn("_r", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("_r") <= docs_each)
+    # in two steps, so that no task ranks what all input tasks send of one language
+    salted = sized.withColumn("_salt", F.pmod("_h", F.lit(64)))
+    salted = salted.withColumn("_r", F.row_number().over(Window.partitionBy("lang", "_salt").orderBy(*order))).where(F.col("_r") <= docs_each)
+    ranked = salted.withColumn("_r", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("_r") <= docs_each)
     before = F.sum("_n").over(Window.partitionBy("lang").orderBy("_r").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
     chosen = ranked.withColumn("_before", before).where(F.col("_before") < MOST_BYTES).select("lang", "_id", "_r")
     texts_of = known.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("_text"))
