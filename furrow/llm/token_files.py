@@ -20,6 +20,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -165,7 +166,9 @@ class WordIds:
         low = _fold[data]
         w = T.words(low, offsets)
         size = w.end - w.start
-        _, first, inverse = np.unique(T.word_hashes(low, w), return_index=True, return_inverse=True)
+        inverse, distinct = pd.factorize(T.word_hashes(low, w))
+        first = np.empty(len(distinct), np.int64)
+        first[inverse[::-1]] = np.arange(len(inverse) - 1, -1, -1)
         if (size[first][inverse] != size).any():  # two words of one hash
             first = inverse = np.arange(len(size))
         raw = low.tobytes()
