@@ -1,11 +1,12 @@
 """Mixing sources to target weights by Sainte-Lague apportionment of equal-token blocks.
 
-Targets share all words by weight; a source's target stops at `most_repeats` times its size and the excess is reshared. Each
-source's target becomes a whole number of blocks: block after block goes to the source with the highest quotient
-weight / (2 * blocks + 1) that may still take one. The result of that sequence is found directly: a divisor d gives every source
-the rounded weight / d, and the blocks that a last divisor leaves over go by quotient. A source's blocks are apportioned to its
-shards in the same way, by size. In a shard the documents stand in an order drawn from the seed and are cut into blocks; every
-block is taken as often as the quota fills the shard whole, and a drawn choice of blocks once more.
+Targets share all words by weight; a source's target stops at `most_repeats` times its size and the excess is reshared. A source
+that has stopped takes all its words that often, however few they are. The target of every other one becomes a whole number of
+blocks: block after block goes to the source with the highest quotient weight / (2 * blocks + 1) that may still take one. The
+result of that sequence is found directly: a divisor d gives every source the rounded weight / d, and the blocks that a last
+divisor leaves over go by quotient. In a shard the documents stand in an order drawn from the seed and are cut into blocks whose
+lengths differ by one word at most, so none is a remnant. All shards take every block as often as the source's words fill it
+whole; of the rest each takes its part by size, as a drawn choice of blocks, and what rounding leaves over goes to the next shard.
 """
 
 from __future__ import annotations
@@ -76,8 +77,8 @@ def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     return rows.mapInArrow(run, f"_id {rows.schema['_id'].dataType.simpleString()}, _source string, _tie long, _size long")
 
 
-def plan(shards: DataFrame, most_repeats: int = 3) -> DataFrame:
-    """One row a shard (source, shard, words, source_words) -> also target, block, quota, place among its source's shards.
+def plan(shards: DataFrame, most_repeats: int = 3, seed: int = 11) -> DataFrame:
+    """One row a shard (source, shard, words) -> also source_words, target, source_due (words to take), block and quota (blocks).
 
     One row a source is weighed in one task: sources are few beside documents, and shards of one source beside its documents.
     """
@@ -90,21 +91,23 @@ def plan(shards: DataFrame, most_repeats: int = 3) -> DataFrame:
         weights = np.arange(len(size)) % 3 + 1.0
         target = water_fill(weights, most_repeats * size, size.sum())
         block = int(min(BLOCK_WORDS, max(1, size.sum() // max(1, len(size) * BLOCKS_A_SOURCE))))
-        # the cap of a source lies at its target once that has stopped, so that its blocks match it
-        quota = sainte_lague(np.where(size > 0, weights, 0), np.where(target >= most_repeats * size, np.round(target / block), -(-most_repeats * size // block)).astype(np.int64), int(round(target.sum() / block)))
-        return pa.table({"_source": t["_source"], "source_words": size, "target": target, "source_quota": quota, "block": np.full(len(size), block)})
+        most = most_repeats * size
+        stopped = target >= most  # these need no blocks: they take all they have
+        quota = sainte_lague(np.where(stopped, 0, weights), -(-most // block), int(round(target[~stopped].sum() / block)))
+        due = np.where(stopped, most, np.minimum(quota * block, most))
+        return pa.table({"_source": t["_source"], "source_words": size, "target": target, "source_due": due, "block": np.full(len(size), block)})
 
-    weighed = sources.withColumn("_all", F.lit(0)).groupBy("_all").applyInArrow(weigh, "_source string, source_words long, target double, source_quota long, block long")
+    weighed = sources.withColumn("_all", F.lit(0)).groupBy("_all").applyInArrow(weigh, "_source string, source_words long, target double, source_due long, block long")
 
     def share(t: pa.Table) -> pa.Table:
         t = t.sort_by("shard")
-        words, block = t["words"].to_numpy(), int(t["block"][0].as_py())
-        quota = sainte_lague(words.astype(float), most_repeats * -(-words // block), int(t["source_quota"][0].as_py()))
-        return t.append_column("quota", pa.array(quota))
+        block, due = int(t["block"][0].as_py()), int(t["source_due"][0].as_py())
+        quota = spread(t["words"].to_pylist(), t["shard"].to_pylist(), block, due, seed)
+        return t.append_column("quota", pa.array(quota, pa.int64()))
 
     keyed = shards.withColumn("_s", F.coalesce("_source", F.lit(""))).withColumn("_none", F.col("_source").isNull())
-    joined = keyed.join(weighed, keyed["_source"].eqNullSafe(weighed["_source"])).select("_s", "_none", "shard", "words", "source_words", "target", "source_quota", "block")
-    kind = "_s string, _none boolean, shard long, words long, source_words long, target double, source_quota long, block long, quota long"
+    joined = keyed.join(weighed, keyed["_source"].eqNullSafe(weighed["_source"])).select("_s", "_none", "shard", "words", "source_words", "target", "source_due", "block")
+    kind = "_s string, _none boolean, shard long, words long, source_words long, target double, source_due long, block long, quota long"
     return joined.groupBy("_s", "_none").applyInArrow(share, kind)
 
 
@@ -119,7 +122,7 @@ def mix(docs: DataFrame, most_repeats: int = 3, seed: int = 11, id_col: str = "d
     found = session.written(sizes(docs, id_col, text_col, source_col), "sizes")
     n_shards = max(1, -(-found.count() // SHARD_DOCS))
     found = found.withColumn("shard", F.expr(f"pmod(xxhash64(_id, _tie, {seed}), {n_shards}L)")).withColumn("_s", F.coalesce("_source", F.lit(""))).withColumn("_none", F.col("_source").isNull())
-    planned = session.written(plan(found.groupBy("_source", "shard").agg(F.sum("_size").alias("words")), most_repeats), "plan")
+    planned = session.written(plan(found.groupBy("_source", "shard").agg(F.sum("_size").alias("words")), most_repeats, seed), "plan")
     order = Window.partitionBy("_s", "_none", "shard").orderBy(F.xxhash64(F.lit(seed), "_id", "_tie"), "_id", "_tie")
     placed = found.withColumn("before", F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_size"))
     rows = placed.join(planned, ["_s", "_none", "shard"]).select("_id", "_tie", "_source", "shard", "_size", "before", "words", "source_words", "target", "block", "quota")
@@ -134,7 +137,7 @@ def mix(docs: DataFrame, most_repeats: int = 3, seed: int = 11, id_col: str = "d
                     if len(held) >= 64:
                         held.clear()
                     held[key] = times(words, block, quota, seed, shard)
-                t, c = take(held[key], block, before, size)
+                t, c = take(held[key], words, before, size)
                 taken.append(t)
                 cuts.append(c)
             yield pa.RecordBatch.from_arrays(
@@ -146,6 +149,25 @@ def mix(docs: DataFrame, most_repeats: int = 3, seed: int = 11, id_col: str = "d
     return rows.mapInArrow(run, f"{id_col} {kind}, tie long, size long, source_size long, target double, taken long, cuts array<struct<from:long,to:long,times:long>>")
 
 
+def drawn(n: int, seed: int, shard: int) -> np.ndarray:
+    """The n blocks of a shard in the order in which they are chosen."""
+    return np.argsort(T.mix(np.arange(n, dtype=np.uint64) + np.uint64((seed * 1_000_003 + shard) % (1 << 63))), kind="stable")
+
+
+def spread(words: Sequence[int], shards: Sequence[int], block: int, due: int, seed: int) -> list[int]:
+    """Blocks that each shard of a source takes, repeats counted, so that their words add up to due (to half a block)."""
+    total, seen, given, out = sum(words), 0, 0, []
+    passes, rest = divmod(due, total) if total else (0, 0)
+    for w, shard in zip(words, shards, strict=True):
+        n, seen = -(-w // block), seen + w
+        extra = min(n, max(0, int((rest * seen / total - given) * n / w + 0.5))) if rest and n else 0
+        if extra:
+            cut = np.arange(n + 1) * w // n
+            given += int(np.diff(cut)[drawn(n, seed, shard)[:extra]].sum())
+        out.append(passes * n + extra)
+    return out
+
+
 def times(words: int, block: int, quota: int, seed: int, shard: int) -> np.ndarray:
     """How often each block of a shard is taken."""
     n = -(-words // block)
@@ -153,18 +175,18 @@ def times(words: int, block: int, quota: int, seed: int, shard: int) -> np.ndarr
         return np.zeros(0, np.int64)
     out = np.full(n, quota // n, np.int64)
     if quota % n:
-        order = np.argsort(T.mix(np.arange(n, dtype=np.uint64) + np.uint64((seed * 1_000_003 + shard) % (1 << 63))), kind="stable")
-        out[order[: quota % n]] += 1
+        out[drawn(n, seed, shard)[: quota % n]] += 1
     return out
 
 
-def take(often: np.ndarray, block: int, before: int, size: int) -> tuple[int, list[dict[str, int]]]:
-    """Words taken of a document that begins at `before`, and its runs of words with how often they are taken."""
+def take(often: np.ndarray, words: int, before: int, size: int) -> tuple[int, list[dict[str, int]]]:
+    """Words taken of a document that begins at `before` of a shard's words, and its runs of words with how often they are taken."""
     if not size:
         return 0, []
-    a, z = before // block, (before + size - 1) // block
+    n = len(often)
+    a, z = ((before + 1) * n - 1) // words, ((before + size) * n - 1) // words  # block i begins at i * words // n
     counts = often[a : z + 1]
-    edges = np.clip(np.arange(a, z + 2) * block - before, 0, size)
+    edges = np.clip(np.arange(a, z + 2) * words // n - before, 0, size)
     runs = np.flatnonzero(np.concatenate([[True], counts[1:] != counts[:-1]]))
     ends = np.append(runs[1:], len(counts))
     return int((np.diff(edges) * counts).sum()), [{"from": int(edges[i]), "to": int(edges[j]), "times": int(counts[i])} for i, j in zip(runs, ends, strict=True) if counts[i]]

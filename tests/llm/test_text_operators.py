@@ -258,6 +258,31 @@ def test_mixing_meets_targets(spark):
     assert words == m.agg(F.sum("taken")).first()[0] and done.columns == docs.columns
 
 
+def test_mixing_meets_targets_of_small_sources_and_of_many_shards(spark):
+    """Blocks of 4,096 words: a source of a few words, one with a few words in each shard, and large ones that do not stop."""
+    sizes = {"a few": {3: 7}, "b short": {s: 400 for s in range(234)}, "c one block": {0: 5000}, "d large": {s: 150_000 + 7 * s for s in range(234)}, "e uneven": {s: 1 + 1700 * (s % 97) for s in range(234)}}
+    shards = spark.createDataFrame([(k, s, w) for k, v in sizes.items() for s, w in v.items()], "_source string, shard long, words long")
+    taken, target, blocks = Counter(), {}, set()
+    for r in mixing.plan(shards).collect():
+        often = mixing.times(r.words, r.block, r.quota, 11, r.shard)
+        assert often.max() <= 3
+        taken[r._s] += mixing.take(often, r.words, 0, r.words)[0]
+        target[r._s] = r.target
+        blocks.add(r.block)
+    assert all(taken[k] == 3 * sum(sizes[k].values()) == target[k] for k in ("a few", "b short", "c one block"))
+    assert all(abs(taken[k] - target[k]) <= max(blocks) for k in ("d large", "e uneven")) and min(blocks) > 1000
+
+
+def test_mixing_takes_all_of_a_small_source(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_DOCS", 20)
+    monkeypatch.setattr(mixing, "BLOCKS_A_SOURCE", 8)
+    rows = [(i, "w " * (30 + i % 50), "large") for i in range(400)] + [(1000 + i, "x y", "small") for i in range(40)] + [(2000, "z", "one")]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert all(r.taken == 3 * r["size"] for r in got if r.doc_id >= 1000)
+    large = [r for r in got if r.doc_id < 1000]
+    assert abs(sum(r.taken for r in large) - large[0].target) <= 1000 and all(0 <= r.taken <= 3 * r["size"] for r in large)
+
+
 def test_sainte_lague_gives_each_seat_to_the_highest_quotient():
     for seed in range(40):
         g = np.random.default_rng(seed)
