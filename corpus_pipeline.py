@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from furrow import session
 from furrow.llm import byte_bpe, mixing, quality_classifier, simhash, substring_dedup
+from furrow.llm import text as T
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -27,16 +28,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group; of rows that share that id, one. Documents without an id all stay."""
+    """One row of each group of near copies: that of least id, rows without an id last.
+
+    Where ids repeat or are missing, id and fingerprint tell rows apart; of rows that share both, the least one stays.
+    """
     session.ship(spark)
-    found = simhash.near_dedup(docs)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    out = docs.join(kept, docs.doc_id == kept._kept, "left_semi").unionByName(docs.where("doc_id IS NULL"))
-    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if not repeated:
+    found = session.written(simhash.grouped(docs), "groups")
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("_k")).select(F.col("_k.doc_id").alias("_id"), F.col("_k.fp").alias("_fp"))
+    repeated = session.written(found.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1").select("_again"), "repeated-ids")
+    alone = first.join(repeated, F.col("_id") == F.col("_again"), "left_anti")
+    out = docs.join(alone, F.col("doc_id") == F.col("_id"), "left_semi")
+    unclear = docs.join(repeated, F.col("doc_id") == F.col("_again"), "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    if not unclear.limit(1).count():
         return out
-    first = out.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("_row"))
-    return first.select("_row.*").unionByName(out.where("doc_id IS NULL"))
+    fp = F.udf(lambda raw: simhash.signed(bytes(raw)), "long", useArrow=True)
+    told = _packed(unclear).withColumn("_own", fp(T.as_bytes(F.col("text"))))
+    kept = told.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_fp")), "left_semi")
+    least = kept.groupBy("doc_id", "_own").agg(F.min(F.struct("text", "_others")).alias("_row")).select("doc_id", "_row.text", "_row._others")
+    return out.unionByName(_unpacked(least, docs.columns))
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -171,8 +171,14 @@ def near_links(fps: DataFrame, most: int = 2) -> DataFrame:
     return out
 
 
-def near_dedup(docs: DataFrame, most_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, fp and component_id (the smallest id reachable, itself included) of every row.
+def signed(raw: bytes) -> int:
+    """The SimHash of one text as fingerprints() gives it."""
+    fp = fingerprint(raw)
+    return fp - (1 << 64) if fp >> 63 else fp
+
+
+def grouped(docs: DataFrame, most_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, fp, root (a fingerprint that names the component) and component_id (the smallest id reachable, itself included).
 
     Null and empty texts have fingerprint zero and link like any other. Rows with the same id and different texts may lie in
     several components; null ids belong to a component but never name it, unless all its ids are null. Other columns are not
@@ -184,8 +190,13 @@ def near_dedup(docs: DataFrame, most_bits: int = 2, id_col: str = "doc_id", text
     # A class that has no near class is its own component.
     of_class = classes.join(joined, classes.fp == joined.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
     of_root = of_class.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = of_class.select("fp", "root").join(of_root, "root").select(F.col("fp").alias("_fp"), "component_id")
-    return found.join(named, F.col("fp") == F.col("_fp")).select(id_col, "fp", "component_id")
+    named = of_class.select("fp", "root").join(of_root, "root").select(F.col("fp").alias("_fp"), "root", "component_id")
+    return found.join(named, F.col("fp") == F.col("_fp")).select(id_col, "fp", "root", "component_id")
+
+
+def near_dedup(docs: DataFrame, most_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, fp and component_id of every row; see grouped()."""
+    return grouped(docs, most_bits, id_col, text_col).select(id_col, "fp", "component_id")
 
 
 def hex16(fp: Column) -> Column:

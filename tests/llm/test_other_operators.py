@@ -125,3 +125,13 @@ def test_pipeline_on_odd_rows(spark, odd, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, d).cache()
         docs.count()
+
+
+def test_pipeline_near_dedup_with_clashing_and_missing_ids(spark):
+    prose = lambda seed: " ".join(f"w{seed}x{i * i % 97}" for i in range(80))
+    rows = [(1, prose(1)), (2, prose(2)), (2, prose(3)), (2, prose(1)), (3, prose(4)), (3, prose(4)), (4, prose(5)), (5, prose(5)), (None, prose(1)), (None, prose(6)), (None, prose(6)), (None, prose(7)), (6, prose(8))]
+    docs = spark.createDataFrame([(i, x, "en", "s", len(x)) for i, x in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = corpus_pipeline.near_dedup(spark, docs, "")
+    assert got.columns == docs.columns
+    want = [(1, prose(1)), (2, prose(2)), (2, prose(3)), (3, prose(4)), (4, prose(5)), (None, prose(6)), (None, prose(7)), (6, prose(8))]
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter(want)
