@@ -29,6 +29,7 @@ SAMPLE = 20_000  #: vectors that codebooks are learnt from, those of lowest hash
 CELL = 24  #: classes that a cell should hold, up to MOST_CODES codewords a half
 MOST_CODES = 256
 PART = 4096  #: members of a part of a cell
+LINKS = "id long, h long, links long, to long"
 
 
 @dataclass
@@ -159,26 +160,10 @@ def _compare(width: int, threshold: float):
     return run
 
 
-def near_dedup(vectors: DataFrame, threshold: float = 0.95, recall: float = 0.995, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """id, n_links, component_id and kept of every row.
-
-    Null or zero vectors, vectors with null or non-finite components, and vectors of another width than the commonest link with
-    nothing. Rows with the same id are one node of the components but separate vectors for n_links. Other columns are not read;
-    an empty table gives no rows.
-    """
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("vector"))
-    usual = rows.where(F.size("vector") > 0).groupBy(F.size("vector").alias("width")).count().orderBy(F.desc("count"), "width").first()
-    width = usual["width"] if usual else 1
-    fine = F.coalesce((F.size("vector") == width) & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0) & F.col("id").isNotNull(), F.lit(False))
-    rows = rows.withColumn("vector", F.when(fine, F.col("vector")))
-    classes = rows.where("vector IS NOT NULL").groupBy("vector").agg(F.min("id").alias("id"), F.count("*").alias("weight")).withColumn("h", F.xxhash64("vector"))
-    classes = session.written(classes, "vector-classes")
-    n = classes.count()
+def _links(classes: DataFrame, width: int, n: int, threshold: float, recall: float) -> DataFrame:
+    """The links of n classes, all vectors of one width."""
     sample = classes.orderBy("h", "id").limit(SAMPLE).select("vector").toArrow()
-    if n:
-        grid = learn(unit(sample["vector"], width), n, threshold, recall)
-    else:
-        grid = Grid((np.zeros((1, 1)), np.zeros((1, 1))))
+    grid = learn(unit(sample["vector"], width), n, threshold, recall)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -198,8 +183,26 @@ def near_dedup(vectors: DataFrame, threshold: float = 0.95, recall: float = 0.99
     members = placed.join(F.broadcast(parts), F.col("home") == F.col("cell")).select("cell", F.expr("CAST(pmod(h, parts) AS INT)").alias("part"), "id", "h", "weight", "home", "vector")
     visitors = placed.withColumn("cell", F.explode("visits")).join(F.broadcast(parts), "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("cell", "part", "id", "h", "weight", "home", "vector")
     visitors = visitors.select(*(F.col(c).alias(c) for c in visitors.columns))  # columns of its own beside members'
-    found = members.groupBy("cell", "part").cogroup(visitors.groupBy("cell", "part")).applyInArrow(_compare(width, threshold), "id long, h long, links long, to long")
-    found = session.written(found, "vector-links")
+    found = members.groupBy("cell", "part").cogroup(visitors.groupBy("cell", "part")).applyInArrow(_compare(width, threshold), LINKS)
+    return session.written(found, "vector-links")
+
+
+def near_dedup(vectors: DataFrame, threshold: float = 0.95, recall: float = 0.995, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """id, n_links, component_id and kept of every row.
+
+    Null or zero vectors and vectors with null or non-finite components link with nothing, others with vectors of equal width;
+    each width has an index of its own. Rows with the same id are one node of the components but separate vectors for n_links.
+    Other columns are not read; an empty table gives no rows.
+    """
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("vector"))
+    fine = F.coalesce(F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0) & F.col("id").isNotNull(), F.lit(False))
+    rows = rows.withColumn("vector", F.when(fine, F.col("vector")))
+    classes = rows.where("vector IS NOT NULL").groupBy("vector").agg(F.min("id").alias("id"), F.count("*").alias("weight")).withColumn("h", F.xxhash64("vector"))
+    classes = session.written(classes, "vector-classes")
+    found = vectors.sparkSession.createDataFrame([], LINKS)
+    # a row for each width: a table has as many as models made its vectors
+    for width, n in classes.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("n")).where("n > 1").orderBy("width").collect():
+        found = found.unionByName(_links(classes.where(F.size("vector") == width), width, n, threshold, recall))
     named = components(found.select("id", "to"), "id", "to")
     links = found.groupBy("id", "h").agg(F.sum("links").alias("links"))
     whole = classes.join(links, ["id", "h"], "left").join(named, F.col("id") == F.col("node"), "left")

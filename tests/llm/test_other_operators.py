@@ -59,6 +59,25 @@ def test_traversal_visits_nearest_cells_first():
     assert (np.diff(cost) >= 0).all() and seen[0] == grid.cell(x[:1])[0] and len(seen) == ((a[:, None] + b[None]) <= grid.limit).sum()
 
 
+@pytest.mark.parametrize("recall", [1.0, 0.995])
+def test_vectors_of_each_width_are_linked(spark, recall):
+    g = np.random.default_rng(4)
+    rows, want = [], {}
+    for width, n in ((8, 300), (5, 40), (3, 2), (1, 2), (6, 1)):
+        for k in range(n):
+            v = g.normal(size=width).astype("f4")
+            at = len(rows)
+            rows += [(at, v), (at + 1, v), (at + 2, v * 2)]
+    for i, v in rows:
+        near = [j for j, u in rows if len(u) == len(v) and float(np.dot(u.astype(float), v) / np.linalg.norm(u.astype(float)) / np.linalg.norm(v.astype(float))) >= 0.95]
+        want[i] = len(near) - 1
+    df = spark.createDataFrame([(i, v.tolist(), 0, 9, "x") for i, v in rows], SCHEMA).repartition(4)
+    got = {r.vec_id: r for r in embedding_dedup.near_dedup(df, recall=recall).collect()}
+    assert all(r.component_id <= i - i % 3 for i, r in got.items()) and all(want[i] >= r.n_links >= 2 for i, r in got.items())
+    if recall == 1:
+        assert {i: r.n_links for i, r in got.items()} == want
+
+
 def test_no_vectors(spark):
     assert embedding_dedup.near_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
     one = embedding_dedup.near_dedup(spark.createDataFrame([(1, None, 0, 1, "")], SCHEMA)).first()
