@@ -50,7 +50,7 @@ def test_neyman_case(spark):
 
 def test_ppi(spark):
     everything = spark.range(1000).select((100 + F.col("id") % 7).cast("double").alias("m"))
-    s = spark.createDataFrame(list(zip([105, 104, 106, 105.5, 104.5], [100, 99, 101, 100.5, 99.5])), "m double, g double")
+    s = spark.createDataFrame(list(zip([105.0, 104.0, 106.0, 105.5, 104.5], [100.0, 99.0, 101.0, 100.5, 99.5])), "m double, g double")
     r = estimate.ppi_mean(everything, s, "m", "g").first()
     assert r.survey_mean == 100 and r.ppi_se == 0 and r.gain == 1.0 and r.ppi_mean == pytest.approx(everything.agg(F.avg("m")).first()[0] - 5, abs=1e-3)
 
@@ -63,7 +63,7 @@ def test_bootstrap_covers_the_estimate(spark):
 
 
 def test_transition_marginals_and_compliance(spark):
-    e = spark.range(100).select((F.col("id") // 10).cast("long").alias("r"), (F.col("id") % 10).alias("c"), (F.col("id") % 4).cast("int").alias("code"))
+    e = spark.range(100).select(F.expr("id DIV 10").alias("r"), (F.col("id") % 10).alias("c"), (F.col("id") % 4).cast("int").alias("code"))
     late = e.withColumn("code", ((F.col("code") + F.col("r")) % 4).cast("int"))
     m = transition.transition_matrix(transition.pair(e, late), [0, 1, 2, 3])
     assert m.agg(F.sum("pixels")).first()[0] == 100
