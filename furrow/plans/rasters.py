@@ -112,17 +112,22 @@ def percentile_stretch(spark: SparkSession, d: str) -> DataFrame:
     return raster.percentile_stretch(X.grid(spark, d), "value").select("r", "c", r4n(F.col("stretched")).alias("stretched"))
 
 
-@query(G + " SELECT t.r, t.c, s.value FROM (SELECT r, c FROM g WHERE r < 5 AND c < 50) t JOIN g s ON s.r = CAST(floor((t.r + 0.5) * 2) AS BIGINT) AND s.c = CAST(floor((t.c + 0.5) * 2) AS BIGINT)")
+def _half(g: DataFrame) -> DataFrame:
+    """Pixels of the whole grid at half the resolution; the extent is one row."""
+    return g.crossJoin(F.broadcast(raster.extent(g))).where("2 * r < _h AND 2 * c < _w").select("r", "c")
+
+
+@query(G + " SELECT t.r, t.c, s.value FROM (SELECT r, c FROM g CROSS JOIN size WHERE 2 * r < h AND 2 * c < w) t JOIN g s ON s.r = CAST(floor((t.r + 0.5) * 2) AS BIGINT) AND s.c = CAST(floor((t.c + 0.5) * 2) AS BIGINT)")
 def resample_nearest(spark: SparkSession, d: str) -> DataFrame:
     g = X.grid(spark, d)
-    return raster.resample_nearest(g.where("r < 5 AND c < 50").select("r", "c"), g.select("r", "c", "value"), 2.0, 2.0, ["value"]).select("r", "c", "value")
+    return raster.resample_nearest(_half(g), g.select("r", "c", "value"), 2.0, 2.0, ["value"]).select("r", "c", "value")
 
 
-@query_n(G + " SELECT t.r, t.c, round(avg(s.value), 4) AS value FROM (SELECT r, c FROM g WHERE r < 5 AND c < 50) t JOIN g s ON s.r IN (2 * t.r, 2 * t.r + 1) AND s.c IN (2 * t.c, 2 * t.c + 1) GROUP BY 1, 2")
+@query_n(G + " SELECT t.r, t.c, round(avg(s.value), 4) AS value FROM (SELECT r, c FROM g CROSS JOIN size WHERE 2 * r < h AND 2 * c < w) t JOIN g s ON s.r IN (2 * t.r, 2 * t.r + 1) AND s.c IN (2 * t.c, 2 * t.c + 1) GROUP BY 1, 2")
 def resample_bilinear(spark: SparkSession, d: str) -> DataFrame:
     """At half the resolution the centre lies amid four pixels."""
     g = X.grid(spark, d)
-    return raster.resample_bilinear(g.where("r < 5 AND c < 50").select("r", "c"), g.select("r", "c", "value"), 2.0, 2.0, "value").select("r", "c", r4n(F.col("value")).alias("value"))
+    return raster.resample_bilinear(_half(g), g.select("r", "c", "value"), 2.0, 2.0, "value").select("r", "c", r4n(F.col("value")).alias("value"))
 
 
 @query_n(f"WITH g0 AS ({X.GRID_SQL}), l AS (SELECT r, c, t, CASE WHEN t = 1 THEN conf ELSE conf / 2 END AS v FROM g0 CROSS JOIN range(3) t(t)), g AS (SELECT r, c, v FROM l WHERE t = 1), size AS (SELECT max(r) + 1 AS h, max(c) + 1 AS w FROM g), " + _near(5, "v") + " SELECT r, c, round(v - m, 4) AS contrast, round(sqrt(greatest(q - m * m, 0)), 4) AS local_std FROM near JOIN g USING (r, c)")
@@ -323,7 +328,7 @@ def validation_sample(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer")
 def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    to = f"{session.scratch(spark).rstrip('/')}/furrow-csv-{uuid.uuid4().hex}"
+    to = session.place(spark, "csv")
     sinks.write_csv(X.table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal"), to)
     return tables.read_csv(spark, to, "c_custkey long, c_name string, c_acctbal double")
 

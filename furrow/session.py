@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -35,10 +36,12 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "fur
 def scratch(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir of the session.
 
-    Only where a session has none (tests, one machine) a temporary folder is set.
+    Only where a session on one machine (tests) has none, a temporary folder is set; a cluster without one is an error.
     """
     found = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="furrow-checkpoints-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(found)
@@ -48,11 +51,34 @@ def scratch(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table written to the shared folder and read again: it cuts lineage and survives lost executors."""
     spark = df.sparkSession
-    path = f"{scratch(spark).rstrip('/')}/furrow-{name}-{uuid.uuid4().hex}"
+    path = place(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def place(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted when the driver ends."""
+    path = f"{scratch(spark).rstrip('/')}/furrow-{name}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    if not hasattr(context, "_furrow_paths"):
+        context._furrow_paths = []
+        atexit.register(clean, spark)
+    context._furrow_paths.append(path)
+    return path
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this session; results that still read them are lost."""
+    paths = getattr(spark.sparkContext, "_furrow_paths", [])
+    try:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        while paths:
+            path = jvm.org.apache.hadoop.fs.Path(paths.pop())
+            path.getFileSystem(conf).delete(path, True)
+    except Exception:  # the JVM may have gone first; nothing depends on the deletion
+        paths.clear()
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable on the executors, wherever the driver was started."""
     context = spark.sparkContext
