@@ -57,23 +57,23 @@ def _slice(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     w = T.words(data, offsets)
     count = np.diff(w.first)
     owner = np.repeat(np.arange(n), count)
-    hashes = T.word_hashes(data, w)
+    ids, _ = T.word_ids(data, w)
     inside = T.IS_WORD[data]
     chars = _per_text(inside & ~CONTINUES[data], offsets)
-    first_word, _ = _firsts(hashes, owner)
-    window = T.window_hashes(hashes, 5)
+    first_word, _ = _firsts(ids, owner)
+    window = T.run_ids(ids, 5)
     starts = np.flatnonzero(owner[: len(window)] == owner[4:]) if len(window) else np.zeros(0, np.int64)
     _, many = _firsts(window[starts], owner[starts])
-    repeated = T.covered(starts[many], 5, len(hashes))
-    echo = np.zeros(len(hashes), bool)
-    echo[1:] = (hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])
+    repeated = T.covered(starts[many], 5, len(ids))
+    echo = np.zeros(len(ids), bool)
+    echo[1:] = (ids[1:] == ids[:-1]) & (owner[1:] == owner[:-1])
     lines, dup = _dup_lines(data, offsets)
     by_word = lambda flags: np.bincount(owner, flags, n) if len(owner) else np.zeros(n)
     symbols, letters = _per_text(IS_SYMBOL[data], offsets), _per_text(IS_LETTER[data], offsets)
     upper = _per_text(IS_UPPER[data], offsets)
     total, some, lots = np.maximum(chars, 1), np.maximum(count, 1), np.maximum(lines, 1)
-    ends_loud = np.zeros(len(hashes), bool)
-    if len(hashes):
+    ends_loud = np.zeros(len(ids), bool)
+    if len(ids):
         ends_loud = data[w.end - 1] == ord("!")
     return {
         "n_words": count, "word_chars": chars, "n_symbols": symbols, "n_dup_lines": dup, "n_repeat_words": by_word(repeated).astype(np.int64),

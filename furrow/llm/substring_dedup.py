@@ -8,7 +8,10 @@ neighbours mostly share theirs, so about one word in eight is named). Runs that
 repeats is extended to twice the length, around the same place in the window, until the length is `min_words`; there the first
 occurrence of each window is found. Windows that no longer repeat at some length are no candidates at the next.
 
-Layout: documents are dealt by a hash of their id into blocks of a few MB. A block sends each bucket (a range of hashes) one
+Shorter lengths only sift, by 64-bit hashes. At min_words two windows are taken for equal if two independent 64-bit hashes of their
+words' bytes agree (among 2e13 windows, some 100 TB, the chance that any two differ then is below 1e-11).
+
+Layout: documents are dealt by a hash of id and text into blocks of a few MB. A block sends each bucket (a range of hashes) one
 binary with its distinct hashes, and gets back one bit for each: so one passage in a third of all documents costs a bucket
 one entry a block, and no row is made for a pair. Every level is a grouped pass over the same exchange of blocks, which Spark
 reuses, and there is no action in between: lost executors only cost the stages they held.
@@ -17,6 +20,7 @@ reuses, and there is no action in between: lost executors only cost the stages t
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +29,8 @@ from furrow.llm import text as T
 
 BLOCK_BYTES = 4 << 20
 BUCKET_WORDS = 2_000_000  #: words of the input for each bucket
-MESSAGE = "bucket long, block long, hashes binary, ids binary, id_counts binary"
+MESSAGE = "bucket long, block long, hashes binary, checks binary, ids binary, id_counts binary"
+CHECK_BASE = 0xA0761D6478BD642F  #: of the second hash of a window
 VERDICT = "level int, bucket long, block long, bits binary"
 
 
@@ -59,13 +64,15 @@ class Block:
         tie = t["_tie"].combine_chunks().to_numpy(zero_copy_only=False)
         order = np.lexsort((tie, ids, ~missing))
         self.rows = t.take(pa.array(order))
-        self.ids, self.lengths, self.buckets = ids[order], lengths, np.uint64(buckets)
+        self.keys = np.stack([ids[order], tie[order]], 1)
+        self.lengths, self.buckets = lengths, np.uint64(buckets)
         self.data, self.offsets = T.flat(texts.take(pa.array(order)))
-        starts, ends, hashes, counts = [], [], [], []
+        starts, ends, hashes, counts, self.pieces = [], [], [], [], []
         for a, b in T.slices(self.offsets):
             lo = self.offsets[a]
             piece = self.data[lo : self.offsets[b]]
             w = T.words(piece, self.offsets[a : b + 1] - lo)
+            self.pieces.append((lo, w))
             starts.append(w.start + lo)
             ends.append(w.end + lo)
             hashes.append(T.word_hashes(piece, w))
@@ -80,37 +87,51 @@ class Block:
         self.alive = np.flatnonzero(self.owner[:n] == self.owner[size - 1 :]) if n > 0 else np.zeros(0, np.int64)
         self.offset = least_places(T.window_hashes(self.hash, base), size - base + 1)[self.alive] - self.alive if n > 0 else self.alive
 
-    def level(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct hashes at length k, each one's bucket, first place and count, and each live window's entry."""
+    def level(self, k: int) -> tuple[np.ndarray, ...]:
+        """Distinct hashes at length k, their second hashes (last level only), each one's bucket, first place and count, and each live window's entry."""
         length = self.lengths[k]
         place = self.alive + np.minimum(self.offset, self.size - length)
         places, window_of = np.unique(place, return_inverse=True)
         found = T.window_hashes(self.hash, length)[places] if len(places) else np.zeros(0, np.uint64)
-        _, first, inverse, many = np.unique(found, return_index=True, return_inverse=True, return_counts=True)
-        distinct = np.argsort(first)  # entries in the order of their first places
-        rank = np.empty(len(distinct), np.int64)
-        rank[distinct] = np.arange(len(distinct))
-        hashes, many, first = found[np.sort(first)], many[distinct], places[np.sort(first)]
+        check = self.checks(places) if k == len(self.lengths) - 1 else found[:0]
+        entry, _ = pd.factorize(found)  # in the order of first places
+        if len(check):
+            entry, _ = pd.factorize(entry * np.int64(len(entry)) + pd.factorize(check)[0])
+        many = np.bincount(entry)
+        first = np.empty(len(many), np.int64)
+        first[entry[::-1]] = np.arange(len(entry) - 1, -1, -1)
+        hashes, check, first = found[first], check[first] if len(check) else check, places[first]
         bucket = (((hashes >> np.uint64(32)) * self.buckets) >> np.uint64(32)).astype(np.int64)
-        return hashes, bucket, first, many, rank[inverse][window_of]
+        return hashes, check, bucket, first, many, entry[window_of]
+
+    def checks(self, places: np.ndarray) -> np.ndarray:
+        """The second hash of the windows at these places; only their words are hashed again."""
+        needed, out, at = T.covered(places, self.size, len(self.hash)), [], 0
+        for lo, w in self.pieces:
+            only = np.flatnonzero(needed[at : at + len(w.start)])
+            out.append(T.word_hashes(self.data[lo : lo + int(w.end[-1])], w, 1, only) if len(only) else np.zeros(len(w.start), np.uint64))
+            at += len(w.start)
+        return T.window_hashes(np.concatenate(out), self.size, CHECK_BASE)[places] if len(places) else np.zeros(0, np.uint64)
 
     def messages(self, k: int, block: int) -> pa.Table:
-        hashes, bucket, first, _, _ = self.level(k)
+        hashes, checks, bucket, first, _, _ = self.level(k)
         last = k == len(self.lengths) - 1
         order = np.argsort(bucket, kind="stable")
         hashes, first, bucket = hashes[order], first[order], bucket[order]
+        checks = checks[order] if last else checks
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]) if len(bucket) else np.zeros(1, int)
-        out: dict[str, list] = {"bucket": [], "block": [], "hashes": [], "ids": [], "id_counts": []}
+        out: dict[str, list] = {"bucket": [], "block": [], "hashes": [], "checks": [], "ids": [], "id_counts": []}
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            owner = self.ids[self.owner[first[a:b]]] if last else np.zeros(0, np.int64)
+            owner = self.owner[first[a:b]] if last else np.zeros(0, np.int64)
             turns = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if last else owner
-            for name, x in (("bucket", int(bucket[a])), ("block", block), ("hashes", hashes[a:b].tobytes()), ("ids", owner[turns].tobytes()), ("id_counts", np.diff(np.concatenate([turns, [len(owner)]])).astype(np.int32).tobytes() if last else b"")):
+            many = np.diff(np.concatenate([turns, [len(owner)]])).astype(np.int32).tobytes() if last else b""
+            for name, x in (("bucket", int(bucket[a])), ("block", block), ("hashes", hashes[a:b].tobytes()), ("checks", checks[a:b].tobytes()), ("ids", self.keys[owner[turns]].tobytes()), ("id_counts", many)):
                 out[name].append(x)
-        return pa.table({"bucket": pa.array(out["bucket"], pa.int64()), "block": pa.array(out["block"], pa.int64()), **{c: pa.array(out[c], pa.binary()) for c in ("hashes", "ids", "id_counts")}})
+        return pa.table({"bucket": pa.array(out["bucket"], pa.int64()), "block": pa.array(out["block"], pa.int64()), **{c: pa.array(out[c], pa.binary()) for c in ("hashes", "checks", "ids", "id_counts")}})
 
     def apply(self, k: int, verdict: dict[int, bytes]) -> np.ndarray | None:
         """Drop windows that don't repeat at level k; at the last, say which live windows start later than their first."""
-        _, bucket, first, many, entry = self.level(k)
+        _, _, bucket, first, many, entry = self.level(k)
         bits = np.zeros(len(bucket), bool)
         for b in np.unique(bucket):
             at = np.flatnonzero(bucket == b)
@@ -135,12 +156,14 @@ def _judge(t: pa.Table, level: int, last: bool) -> pa.Table:
     parts = [np.frombuffer(x, np.uint64) for x in t["hashes"].to_pylist()]
     h = np.concatenate(parts)
     if last:
-        ids = np.concatenate([np.repeat(np.frombuffer(x, np.int64), np.frombuffer(n, np.int32)) for x, n in zip(t["ids"].to_pylist(), t["id_counts"].to_pylist(), strict=True)])
-        order = np.lexsort((ids, h))
+        check = np.concatenate([np.frombuffer(x, np.uint64) for x in t["checks"].to_pylist()])
+        keys = np.concatenate([np.repeat(np.frombuffer(x, np.int64).reshape(-1, 2), np.frombuffer(n, np.int32), 0) for x, n in zip(t["ids"].to_pylist(), t["id_counts"].to_pylist(), strict=True)])
+        order = np.lexsort((keys[:, 1], keys[:, 0], check, h))
+        new = (h[order][1:] != h[order][:-1]) | (check[order][1:] != check[order][:-1])
     else:
         order = np.argsort(h, kind="stable")
-    s = h[order]
-    new = np.concatenate([[True], s[1:] != s[:-1]])
+        new = h[order][1:] != h[order][:-1]
+    new = np.concatenate([[True], new])
     flag = np.empty(len(h), bool)
     flag[order] = new if last else ~(new & np.concatenate([new[1:], [True]]))
     cuts = np.cumsum([0, *map(len, parts)])
@@ -172,15 +195,15 @@ def dedup(docs: DataFrame, min_words: int = 20, base_words: int = 5, id_col: str
     """id, the columns in keep, n_words, n_removed, the text without the removed words, of every row.
 
     A text that loses nothing comes back as it is (null stays null); else each removed word goes with the white space after it.
-    Null and empty texts have no words; documents under min_words words have no window and lose nothing. Rows with the same id are separate documents, ordered by a hash of their text, null ids before all others. Columns neither
-    named nor kept are not read; an empty table gives no rows. Windows are told apart by 64-bit hashes of their words.
+    Null and empty texts have no words; documents under min_words words have no window and lose nothing. Rows with the same id are separate documents, ordered by a hash of their text, null ids before all others; rows alike in both
+    are interchangeable, and one of them stands first. Columns neither named nor kept are not read, so their names cannot clash; an empty table gives no rows.
     """
     lengths = ladder(min_words, base_words)
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).alias("n")).first()["n"]
     n_blocks, buckets = max(1, -(-size // block_bytes)), max(1, -(-size // (6 * BUCKET_WORDS)))
     kind = docs.schema[id_col].dataType.simpleString()
     blocks = docs.select(
-        F.expr(f"pmod(xxhash64(`{id_col}`), {n_blocks}L)").alias("block"), F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_tie"),
+        F.expr(f"pmod(xxhash64(`{id_col}`, `{text_col}`), {n_blocks}L)").alias("block"), F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_tie"),
         T.as_bytes(F.col(text_col)).alias("_text"), F.struct(F.col(text_col).isNull().alias("_null"), *keep).alias("_rest"),
     )
     groups = blocks.groupBy("block")

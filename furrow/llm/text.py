@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
@@ -18,8 +19,10 @@ from pyspark.sql import functions as F
 SPACES = bytes([0x20, 9, 10, 11, 12, 13])
 IS_WORD = np.ones(256, dtype=bool)
 IS_WORD[list(SPACES)] = False
-#: Odd multipliers of the polynomial hashes, taken mod 2**64.
+#: Odd multipliers of hashes, taken mod 2**64.
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93
+LONG = 1024  #: bytes of a word from which it is hashed by the library
+_FIRST = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 _thrifty = False
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -126,20 +129,96 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(start, np.flatnonzero(stop) + 1, np.searchsorted(start, offsets))
 
 
-def word_hashes(data: np.ndarray, w: Words) -> np.ndarray:
-    """A 64-bit hash of each word's bytes."""
-    up, down = powers(BYTE_BASE, len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
-    return mix((total[w.end] - total[w.start]) * down[w.start] + (w.end - w.start).astype(np.uint64) * np.uint64(WORD_BASE))
-
-
-def window_hashes(word_hash: np.ndarray, size: int) -> np.ndarray:
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one integer; behind the end stand zeros."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
+def word_hashes(data: np.ndarray, w: Words, seed: int = 0, only: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of each word's bytes (or of those in `only`, zero for the rest).
+
+    Eight bytes at a time are mixed into the hash of those before, so that no algebra makes words alike; words over LONG bytes are
+    hashed by XXH3. Hashes of two seeds are independent. Equal hashes are no proof of equal words: see word_ids().
+    """
+    import xxhash
+
+    at = np.arange(len(w.start)) if only is None else only
+    start, size = w.start[at], w.end[at] - w.start[at]
+    found, view = size.astype(np.uint64) * np.uint64(WORD_BASE) + np.uint64((seed * BYTE_BASE + 0x51) % (1 << 64)), eights(data)
+    live = np.flatnonzero(size <= LONG)
+    k = 0
+    while len(live):
+        left = size[live] - k
+        piece = view[start[live] + k] & _FIRST[np.minimum(left, 8)]
+        found[live] = mix(found[live] ^ mix(piece + np.uint64((seed * WORD_BASE + BYTE_BASE) % (1 << 64))))
+        live, k = live[left > 8], k + 8
+    for i in np.flatnonzero(size > LONG).tolist():
+        found[i] = xxhash.xxh3_64_intdigest(data[start[i] : start[i] + size[i]].tobytes(), seed)
+    if only is None:
+        return found
+    out = np.zeros(len(w.start), np.uint64)
+    out[at] = found
+    return out
+
+
+def same_bytes(data: np.ndarray, start: np.ndarray, other: np.ndarray, size: np.ndarray) -> bool:
+    """Whether each run of `size` bytes from start equals the one from other."""
+    view, live, k = eights(data), np.flatnonzero(start != other), 0
+    while len(live):
+        left = size[live] - k
+        keep = _FIRST[np.minimum(left, 8)]
+        if ((view[start[live] + k] ^ view[other[live] + k]) & keep).any():
+            return False
+        live, k = live[left > 8], k + 8
+        if k >= LONG:
+            return all(data[a : a + n].tobytes() == data[b : b + n].tobytes() for a, b, n in zip(start[live].tolist(), other[live].tolist(), size[live].tolist(), strict=True))
+    return True
+
+
+def word_ids(data: np.ndarray, w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each word, equal where the bytes are equal and only there, and the first word of each number.
+
+    Words are brought together by hashes, and each is then compared with the first of its hash.
+    """
+    ids, distinct = pd.factorize(word_hashes(data, w))
+    size = w.end - w.start
+    first = np.empty(len(distinct), np.int64)
+    first[ids[::-1]] = np.arange(len(ids) - 1, -1, -1)
+    like = first[ids]
+    if (size[like] == size).all() and same_bytes(data, w.start, w.start[like], size):
+        return ids, first
+    raw = data.tobytes()  # two words of one hash
+    ids, distinct = pd.factorize(np.array([raw[a:b] for a, b in zip(w.start.tolist(), w.end.tolist(), strict=True)], object))
+    first = np.empty(len(distinct), np.int64)
+    first[ids[::-1]] = np.arange(len(ids) - 1, -1, -1)
+    return ids, first
+
+
+def run_ids(ids: np.ndarray, size: int) -> np.ndarray:
+    """A number for each run of `size` entries, equal where the runs are equal and only there: pairs of runs are numbered anew."""
+    if len(ids) < size:
+        return np.zeros(0, np.int64)
+
+    def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        b = b[: len(a)]
+        return pd.factorize(a[: len(b)].astype(np.int64) * (int(b.max(initial=0)) + 1) + b)[0]
+
+    whole, done, power, length = None, 0, ids, 1  # numbers stay below len(ids), so products fit
+    while True:
+        if size & length:
+            whole, done = (power, length) if whole is None else (joined(whole, power[done:]), done + length)
+        if done == size:
+            return whole[: len(ids) - size + 1]
+        power, length = joined(power, power[length:]), 2 * length
+
+
+def window_hashes(word_hash: np.ndarray, size: int, base: int = WORD_BASE) -> np.ndarray:
     """A 64-bit hash of each run of `size` words; runs across texts are included and the caller skips them."""
     n = len(word_hash) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    up, down = powers(WORD_BASE, len(word_hash) + 1)
+    up, down = powers(base, len(word_hash) + 1)
     total = np.zeros(len(word_hash) + 1, np.uint64)
     np.cumsum(word_hash * up[:-1], out=total[1:])
     return mix((total[size:] - total[:n]) * down[:n] + np.uint64(size))

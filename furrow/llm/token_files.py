@@ -20,7 +20,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -161,16 +160,11 @@ class WordIds:
         """Ids of texts that lie one after another, and how many each has.
 
         The tokenizer folds case, so folding ASCII first only makes more words alike. Within a slice of texts equal words are
-        looked up once; they are told apart by 64-bit hashes and lengths.
+        looked up once; their bytes are compared.
         """
         low = _fold[data]
         w = T.words(low, offsets)
-        size = w.end - w.start
-        inverse, distinct = pd.factorize(T.word_hashes(low, w))
-        first = np.empty(len(distinct), np.int64)
-        first[inverse[::-1]] = np.arange(len(inverse) - 1, -1, -1)
-        if (size[first][inverse] != size).any():  # two words of one hash
-            first = inverse = np.arange(len(size))
+        inverse, first = T.word_ids(low, w)
         raw = low.tobytes()
         found = [raw[a:b] for a, b in zip(w.start[first].tolist(), w.end[first].tolist(), strict=True)]
         self._learn(set(found))

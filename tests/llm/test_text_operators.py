@@ -76,9 +76,8 @@ def test_token_files_hold_the_librarys_ids_in_order(spark, docs):
 @pytest.mark.parametrize("values", [[0], [0, 0, 0], [0, 5, 5, 1000], list(range(0, 5000, 3)), [0, 1 << 40]])
 def test_elias_fano(values):
     v = np.array(values, np.int64)
-    if v[-1] < 1 << 33:
-        ef = token_files.EliasFano.of(v)
-        assert ef.all().tolist() == values and [ef.select(i) for i in range(len(values))] == values
+    ef = token_files.EliasFano.of(v)
+    assert ef.all().tolist() == values and [ef.select(i) for i in range(len(values))] == values
 
 
 def brute_windows(pairs, size=20):
@@ -312,3 +311,43 @@ def test_empty_tables(spark, odd):
     to = f"{session.scratch(spark)}/tokens-none-{np.random.randint(1 << 30)}"
     token_files.write(none, to, public_tokenizers.path("word_bpe_49k.json"))
     assert token_files.read(spark, to).count() == 0
+
+
+def alike():
+    """Two words of 1,024 letters that every polynomial hash modulo 2**64 takes for one."""
+    bits = [0]
+    while len(bits) < 1024:
+        bits += [1 - x for x in bits]
+    return "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+
+
+def test_words_are_told_apart_by_their_bytes(spark):
+    a, b = alike()
+    rest = [f"w{i}" for i in range(40)]
+    texts = {1: " ".join([a, *rest[:19]]), 2: " ".join([b, *rest[:19]]), 3: " ".join([a, "x", "y", "z", "u", b, "x", "y", "z", "u", *rest]), 4: "\x00 \x00\x00 " + " ".join(rest[20:])}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    removed = {r.doc_id: r.n_removed for r in substring_dedup.dedup(df).collect()}
+    assert removed == {i: n for i, _, n, _ in brute_windows([(i, t, 0) for i, t in texts.items()])} and removed[2] == 0
+    model = quality_rules.grow(np.zeros((0, len(stats.SHARES))), np.zeros(0, int), np.zeros(len(stats.SHARES)))
+    assert {r.doc_id: r.n_repeat_words for r in quality_rules.judge(df, model).collect()} == {1: 0, 2: 0, 3: 0, 4: 0}
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    ids = token_files.word_ids(public_tokenizers.path("word_bpe_49k.json"))
+    for t in (texts[1], texts[2], a + " " + b):
+        raw = np.frombuffer(t.encode(), np.uint8)
+        assert ids(raw, np.array([0, len(raw)]))[0].tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_words_of_one_hash_are_compared(monkeypatch):
+    monkeypatch.setattr(T, "word_hashes", lambda data, w, *_: (w.end - w.start).astype(np.uint64))
+    raw = np.frombuffer(b"ab cd ab abcdefghijk abcdefghijl cd abcdefghijk", np.uint8)
+    ids, first = T.word_ids(raw, T.words(raw, np.array([0, len(raw)])))
+    assert ids.tolist() == [0, 1, 0, 2, 3, 1, 2] and first.tolist() == [0, 1, 3, 4]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 7, 20])
+def test_run_ids_number_runs(size):
+    x = np.random.default_rng(size).integers(0, 3, 400)
+    seen = {}
+    want = [seen.setdefault(tuple(x[i : i + size]), len(seen)) for i in range(len(x) - size + 1)]
+    got = T.run_ids(x, size).tolist()
+    assert len(got) == len(want) and len(set(zip(got, want))) == len(set(got)) == len(seen)
