@@ -5,9 +5,10 @@ cluster, and the chunks' ids are stitched where the pre-token boundaries of neig
 than one chunk needs no stitching and no shuffle.
 
 Boundaries: the pattern never looks back, so two scans that share one boundary agree from there on. A scan of a cut text is
-only sure of boundaries that lie 4 or more characters before the cut. The overlap is made long enough to hold a place
-between an ASCII letter and a single space before another letter, which is a boundary of every scan; if no such place
-follows, the chunk runs to the end of the text.
+only sure of boundaries that lie 4 or more characters before the cut. A chunk ends just behind an anchor, a place that is a
+boundary of every scan: after a letter (of a script whose letters all engines know) and before white space, a digit or a mark
+that no token puts behind a letter. The next chunk begins at most OVERLAP characters before that anchor, so chunks add up to
+little more than the text in any script. Between two anchors lies hardly more than one pre-token, which cannot be cut anyway.
 """
 
 from __future__ import annotations
@@ -26,8 +27,11 @@ from furrow.llm import text as T
 CHUNK = 1 << 15  #: characters of a chunk
 SURE = 4  #: characters before a cut from which a boundary is sure
 HELD = 150_000  #: pieces whose ids a worker remembers
+OVERLAP = 64  #: characters of a chunk that the next one scans again
+#: Letters of the anchors, by script: Latin, Greek, Cyrillic, Hebrew, Arabic, Devanagari, Thai, kana, Han, Hangul.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af\u0391-\u03a1\u03a3-\u03ff\u0400-\u0481\u048a-\u04ff\u05d0-\u05ea\u0620-\u064a\u0904-\u0939\u0e01-\u0e30\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
 _loaded: dict[tuple[str, str], "Codec"] = {}
-_safe = re.compile(r"[A-Za-z] (?=[A-Za-z])")
+_anchor = re.compile(f"[{LETTERS}](?=[ \t\n\r0-9.,;:!?()\u3001\u3002\uff01\uff08\uff09\uff0c\uff1a\uff1b\uff1f\u0964\u060c\u061f])")
 
 
 class Pieces(dict):
@@ -106,15 +110,15 @@ def codec(path: str, pattern: str) -> Codec:
 
 
 def chunks(text: str, size: int) -> list[tuple[int, int]]:
-    """Overlapping ranges; all but the last hold a sure boundary of every scan after the next one's beginning."""
-    out, a = [], 0
+    """Overlapping ranges; all but the last hold an anchor, and the next range begins shortly before it."""
+    out, a, back = [], 0, min(OVERLAP, size // 2)
     while True:
-        m = _safe.search(text, a + size) if a + size < len(text) else None
+        m = _anchor.search(text, a + size) if a + size < len(text) else None
         b = m.end() + SURE + 1 if m else len(text)
         if b >= len(text):
             return [*out, (a, len(text))]
         out.append((a, b))
-        a += size
+        a = m.end() - back
 
 
 def _boundaries(pieces: list[str], start: int) -> np.ndarray:

@@ -351,3 +351,22 @@ def test_run_ids_number_runs(size):
     want = [seen.setdefault(tuple(x[i : i + size]), len(seen)) for i in range(len(x) - size + 1)]
     got = T.run_ids(x, size).tolist()
     assert len(got) == len(want) and len(set(zip(got, want))) == len(set(got)) == len(seen)
+
+
+SCRIPTS = {"han": "汉字没有空格的长文字", "han with marks": "汉字，没有。空格", "kana": "ひらがなカタカナ", "arabic": "نص عربي، طويل", "thai": "ภาษาไทยไม่มีช่องว่าง", "cyrillic": "русский текст. ", "devanagari": "हिन्दी पाठ। "}
+
+
+@pytest.mark.parametrize("script", SCRIPTS)
+def test_chunks_of_every_script_stay_linear(script):
+    c, english = byte_bpe.Codec(VOCABULARY, PATTERN), " and then a little English, it's said.\n"
+    for text in (SCRIPTS[script] * (60_000 // len(SCRIPTS[script])), (SCRIPTS[script] * 300 + english) * 20, SCRIPTS[script] * 4000 + english * 900):
+        spans = byte_bpe.chunks(text, 1000)
+        assert sum(z - a for a, z in spans) <= 1.5 * len(text) and spans[0][0] == 0 and spans[-1][1] == len(text)
+        ids, head_to, meet = [], -1, -1
+        for k, (a, z) in enumerate(spans):
+            after = spans[k + 1][0] if k + 1 < len(spans) else -1
+            found = byte_bpe.encode_chunk(c, text[a:z], a, after, head_to, False)
+            skip = int(found[3][np.searchsorted(found[2], meet)]) if meet >= 0 else 0
+            ids += np.frombuffer(found[1], "<u4").tolist()[skip:]
+            meet, head_to = found[0], z
+        assert ids == c.encoding.encode_ordinary(text)
