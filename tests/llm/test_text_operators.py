@@ -230,11 +230,54 @@ def test_language_held_out_and_undetermined(spark, odd):
     assert language_id.identify(odd, language_id.build({})).where("lang_pred <> 'und'").count() == 0
 
 
+def plain_phrases(learnt, raw):
+    """Greedy longest pieces of raw that occur in learnt, one after another."""
+    fold = lambda x: re.sub(rb"[\t-\r]", b" ", re.sub(rb"[0-9]", b"0", x.lower()))
+    learnt, raw, at, n = fold(learnt), fold(raw), 0, 0
+    while at < len(raw):
+        size = 1
+        while at + size < len(raw) and raw[at : at + size + 1] in learnt:
+            size += 1
+        at, n = at + size, n + 1
+    return n
+
+
+@pytest.mark.parametrize("segment", [language_id.SEGMENT, 64, 7, 1])
+def test_phrases_are_those_of_a_plain_cross_parse(docs, segment):
+    raws = [(t or "").encode()[:20_000] for _, t in rows(docs)][-80:] + [b"a" * 9000, b"", b"\xff\xfe" * 50, b"zq" * 3000, bytes(range(256)) * 3]
+    texts = {"a": b"".join(raws[:9]), "b": b"zqz the of and", "c": b"", "d": bytes(range(128))}
+    data, offsets = np.frombuffer(b"".join(raws), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raws])])
+    got = language_id.build(texts).phrases(data, offsets, segment)
+    assert got.tolist() == [[plain_phrases(texts[k], x) for k in sorted(texts)] for x in raws]
+
+
+def test_languages_of_whole_table_against_a_plain_parse(spark):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    texts = language_id.sample(docs)
+    known = {(r.lang, r.text) for r in docs.where(~T.held_out(F.col("doc_id"))).collect()}
+    assert all(any(texts[k].startswith(t.encode()) for lang, t in known if lang == k and t) for k in texts) and all(len(v) < 2 * language_id.SAMPLE_BYTES for v in texts.values())
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(docs, language_id.build(texts)).collect()}
+    for i, t in rows(docs):
+        raw = (t or "").encode()
+        cost = [plain_phrases(texts[k], raw) * np.log2(len(texts[k])) for k in sorted(texts)]
+        assert got[i] == (sorted(texts)[int(np.argmin(cost))] if any(c.isalpha() for c in t or "") else "und")
+
+
+def test_language_sample_is_whole_and_equal_for_each(spark):
+    words = lambda k, n: " ".join(f"{'abcdefgh'[(k * 7 + i) % 8]}{i % 5}" for i in range(n))
+    rows_ = [(i, words(i, 30), f"l{i % 30:02d}") for i in range(3000)] + [(9000 + i, words(i, 30_000 + i), "long") for i in range(5)] + [(9100 + i, words(1, 20), "copies") for i in range(700)] + [(9999, words(2, 9), "twice")] * 3
+    texts = language_id.sample(spark.createDataFrame(rows_, "doc_id long, text string, lang string"), docs_each=20, sample_bytes=1500)
+    whole = {lang: {t for _, t, k in rows_ if k == lang} for lang in texts}
+    assert set(texts) == {k for _, _, k in rows_} - ({"twice"} if "twice" not in texts else set())
+    assert all(set(v.decode().split("\n")) <= whole[k] for k, v in texts.items())
+    assert len(texts["long"].split(b"\n")) == 1 and all(1500 <= len(texts[f"l{k:02d}"]) <= 1700 for k in range(30))
+
+
 def test_suffix_automaton_cross_parse():
     model = language_id.build({"a": b"abcabcabd", "b": b"zzzz"})
     data = np.frombuffer(b"abcabdabc", np.uint8)
     phrases = model.phrases(data, np.array([0, 9]))
-    assert phrases[0].tolist() == [2, 10]  # abcabd|abc; no letter of b: a phrase for each, and the one begun
+    assert phrases[0].tolist() == [2, 9]  # abcabd|abc; no letter of b: a phrase for each
 
 
 def test_mixing_adds_up(docs):
@@ -370,3 +413,83 @@ def test_chunks_of_every_script_stay_linear(script):
             ids += np.frombuffer(found[1], "<u4").tolist()[skip:]
             meet, head_to = found[0], z
         assert ids == c.encoding.encode_ordinary(text)
+
+
+def plain_shares(t):
+    """The statistics of one text, word by word."""
+    words, lines = WORD.findall(t), [x for x in t.split("\n") if WORD.search(x)]
+    chars, n = sum(map(len, words)), len(words)
+    windows = Counter(tuple(words[j : j + 5]) for j in range(n - 4))
+    again = {j + k for j in range(n - 4) if windows[tuple(words[j : j + 5])] > 1 for k in range(5)}
+    letters = sum(1 for b in t.encode() if chr(b).isascii() and chr(b).isalpha() or b >= 0xC3)
+    some, total, lots = max(n, 1), max(chars, 1), max(len(lines), 1)
+    count = lambda pattern: len(re.findall(pattern, t))
+    return [
+        np.log1p(n), chars / some, count(r"[#*$%&|<>]") / total, (len(lines) - len(set(lines))) / lots, len(again) / some, len(set(words)) / some,
+        sum(a == b for a, b in zip(words, words[1:])) / some, count("[A-Z]") / max(letters, 1), sum(w.endswith("!") for w in words) / some,
+        count("[0-9]") / total, count("[!?.,;:]") / total, np.log1p(n / lots),
+    ]
+
+
+def test_scores_against_plain_trees_and_a_plain_ranker(spark, docs):
+    known = spark.read.parquet(f"{DIR}/documents.parquet")
+    x, y = stats.labelled_sample(known, spark.read.parquet(f"{DIR}/labels.parquet"), "quality", 20_000)
+    plain = {i: np.array(plain_shares(t)) for i, t in rows(known) if t is not None}
+    held = {r.doc_id for r in known.where(T.held_out(F.col("doc_id"))).select("doc_id").collect()}
+    labels = spark.read.parquet(f"{DIR}/labels.parquet").collect()
+    want = sorted((*plain[r.doc_id].round(9), r.quality) for r in labels if r.doc_id in plain and r.doc_id not in held)
+    assert np.allclose(sorted((*a.round(9), b) for a, b in zip(x, y)), want)
+    trees, ranker = quality_rules.grow(x, y, np.array([quality_rules.MONOTONE.get(k, 0) for k in stats.SHARES])), quality_classifier.fit(x, y)
+
+    def descend(v):
+        total = trees.base
+        for at in trees.roots:
+            while trees.left[at] != at:
+                at = trees.left[at] if v[trees.feature[at]] <= trees.limit[at] else trees.right[at]
+            total += trees.value[at]
+        return 1 / (1 + np.exp(-total))
+
+    def rank(v):
+        shares = np.clip(v[2:11], 0, 1)
+        f = [*v, *np.sqrt(shares), *(shares > 0.03), *(shares > 0.15), *(shares > 0.4)]
+        raw = sum(w * min(6, max(-6, (a - m) / s)) for a, m, s, w in zip(f, ranker.mean, ranker.scale, ranker.weight))
+        return 1 / (1 + np.exp(-np.clip((raw - ranker.cut) / ranker.spread + np.log(0.3 / 0.7), -30, 30)))
+
+    by_text = {t or "": (descend(v := np.array(plain_shares(t or ""))), rank(v)) for _, t in rows(docs)}
+    order = lambda values: sorted(values, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    judged = order((r.doc_id, r.score) for r in quality_rules.judge(docs, trees).collect())
+    assert np.allclose([s for _, s in judged], [s for _, s in order((i, by_text[t or ""][0]) for i, t in rows(docs))], atol=1e-9)
+    for r in quality_rules.judge(docs, trees).collect():
+        assert r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words) and r.kept == (not r.base_failed and r.score >= 0.3)
+    classified = quality_classifier.classify(docs, ranker).collect()
+    assert np.allclose([s for _, s in order((r.doc_id, r.score) for r in classified)], [s for _, s in order((i, by_text[t or ""][1]) for i, t in rows(docs))], atol=1e-9)
+    assert all(r.predicted == (r.score >= 0.3) for r in classified)
+
+
+def test_mixing_against_a_plain_apportionment(docs):
+    texts = docs.select("doc_id", "text", "source").collect()
+    size = Counter()
+    for r in texts:
+        size[r.source] += len(WORD.findall(r.text or ""))
+    sources = sorted(size, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: i % 3 + 1 for i, s in enumerate(sources)}
+    target, free, rest = {}, list(sources), sum(size.values())
+    while free:  # one source at a time stops at its limit
+        unit = rest / sum(weight[s] for s in free)
+        over = [s for s in free if weight[s] * unit > 3 * size[s]]
+        if not over:
+            target |= {s: weight[s] * unit for s in free}
+            break
+        s = min(over, key=lambda s: 3 * size[s] / weight[s])
+        target[s] = 3 * size[s]
+        rest -= target[s]
+        free.remove(s)
+    got = mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken").collect()
+    want = [(r.doc_id, len(WORD.findall(r.text or "")), size[r.source], round(target[r.source], 6)) for r in texts]
+    assert multiset((r.doc_id, r["size"], r.source_size, round(r.target, 6)) for r in got) == multiset(want)
+    by_target = Counter()
+    for r in got:
+        by_target[r.source_size, round(r.target, 6)] += r.taken
+    block = max(1, sum(size.values()) // (len(size) * mixing.BLOCKS_A_SOURCE))
+    many = Counter((size[s], round(target[s], 6)) for s in sources)
+    assert all(abs(by_target[k] - n * k[1]) <= n * (min(block, mixing.BLOCK_WORDS) + 1) for k, n in many.items() if k[0])
