@@ -199,12 +199,12 @@ def render(docs: DataFrame, mixed: DataFrame, columns: Sequence[str], id_col: st
     """
     names = [c for c in columns if c != text_col]
     left = docs.select(F.struct(*names).alias("_rest"), F.col(id_col).alias("_lid"), F.xxhash64(text_col).alias("_tie"), T.as_bytes(F.col(text_col)).alias("_text"))
-    # rows with the same id and text are numbered, so that each meets its own cuts
-    number = lambda df, i, t, n: df.withColumn(n, F.row_number().over(Window.partitionBy(i, t).orderBy(F.lit(0))))
+    # rows with the same id and text are numbered by what else they hold, so that each meets cuts of its own, also on a retry
+    number = lambda df, i, t, n, by: df.withColumn(n, F.row_number().over(Window.partitionBy(i, t).orderBy(F.to_json(F.struct(*by)))))
     right = mixed.where("taken > 0").select(F.col(id_col).alias("_mid"), F.col("tie").alias("_mtie"), F.col("cuts").alias("_cuts"))
     repeated = mixed.groupBy(id_col, "tie").count().where("count > 1").limit(1).count()
     if repeated:
-        left, right = number(left, "_lid", "_tie", "_no"), number(right, "_mid", "_mtie", "_mno")
+        left, right = number(left, "_lid", "_tie", "_no", ["_rest"]), number(right, "_mid", "_mtie", "_mno", ["_cuts"])
     on = F.col("_lid").eqNullSafe(F.col("_mid")) & (F.col("_tie") == F.col("_mtie"))
     both = left.join(right, on & (F.col("_no") == F.col("_mno")) if repeated else on).select("_rest", "_text", "_cuts")
 

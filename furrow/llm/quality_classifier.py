@@ -34,8 +34,12 @@ class Ranker:
     cut: float
     spread: float
 
+    def standard(self, x: np.ndarray) -> np.ndarray:
+        """Features by their mean and spread, far outliers held at 6 spreads."""
+        return np.clip((features(x) - self.mean) / self.scale, -6, 6)
+
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return (features(x) - self.mean) / self.scale @ self.weight
+        return self.standard(x) @ self.weight
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """0 to 1, monotone in the raw score; the cut lies at ACCEPT."""
@@ -49,7 +53,8 @@ def fit(x: np.ndarray, y: np.ndarray, pairs: int = 60_000, rounds: int = 300, ri
     if len(f) == 0 or y.min() == y.max():
         return Ranker(np.zeros(width), np.ones(width), np.zeros(width), -1.0, 1.0)
     mean, scale = f.mean(0), np.maximum(f.std(0), 1e-3)
-    z = np.clip((f - mean) / scale, -6, 6)
+    model = Ranker(mean, scale, np.zeros(width), 0.0, 1.0)
+    z = model.standard(x)
     draw = np.random.default_rng(seed)
     good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
     d = z[draw.choice(good, pairs)] - z[draw.choice(bad, pairs)]
@@ -58,12 +63,13 @@ def fit(x: np.ndarray, y: np.ndarray, pairs: int = 60_000, rounds: int = 300, ri
         g = -(d / (1 + np.exp(np.clip(d @ w, -30, 30)))[:, None]).mean(0) + ridge * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    s = (f - mean) / scale @ w
+    s = z @ w
     cuts = np.quantile(s, np.linspace(0.005, 0.6, 240))
     fair = [((s[y == 1] >= c).mean() + (s[y == 0] < c).mean()) for c in cuts]
     best = np.flatnonzero(np.array(fair) >= max(fair) - 1e-9)
     cut = float(cuts[best[len(best) // 2]])
-    return Ranker(mean, scale, w, cut, float(max(np.std(s), 1e-6)) / 2)
+    model.weight, model.cut, model.spread = w, cut, float(max(np.std(s), 1e-6)) / 2
+    return model
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> Ranker:
@@ -74,7 +80,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 20_000, id_col: str =
 def classify(docs: DataFrame, model: Ranker, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """id, the columns in keep, score (0 to 1) and predicted (score >= 0.3) of every document.
 
-    Null texts are scored as empty ones; repeated ids and rows give one row each; columns that are neither named nor kept are
+    Null texts are scored as empty ones, very long ones whole; repeated ids and rows give one row each; equal texts have equal
+    scores, and a score of 0.3 itself is predicted 1; columns that are neither named nor kept are
     not read, so their names cannot clash; an empty table gives no rows.
     """
     # a kept text goes to the workers once

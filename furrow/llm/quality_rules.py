@@ -112,7 +112,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 20_000, id_col: str =
 def judge(docs: DataFrame, model: Trees, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: counts, base_failed, tree score, kept.
 
-    Null texts count as empty and fail the base rules (under 10 words); repeated ids and rows give one row each; other columns
+    Null texts count as empty and fail the base rules (under 10 words); very long ones are read whole; a score at the threshold
+    is kept; repeated ids and rows give one row each; other columns
     of docs, whatever their names, are not read; an empty table gives no rows.
     """
 

@@ -180,7 +180,8 @@ def signed(raw: bytes) -> int:
 def grouped(docs: DataFrame, most_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, fp, root (a fingerprint that names the component) and component_id (the smallest id reachable, itself included).
 
-    Null and empty texts have fingerprint zero and link like any other. Rows with the same id and different texts may lie in
+    Null and empty texts have fingerprint zero and link like any other; very long texts are read whole. Equal fingerprints are
+    one class, whose least id names it. Rows with the same id and different texts may lie in
     several components; null ids belong to a component but never name it, unless all its ids are null. Other columns are not
     read; an empty table gives no rows.
     """

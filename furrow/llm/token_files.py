@@ -195,7 +195,7 @@ def word_ids(path: str) -> WordIds:
 def write(docs: DataFrame, to: str, vocabulary: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", shard_ids: int = SHARD_IDS) -> None:
     """Encode every row and write shards in ascending id order, null ids first.
 
-    Null and empty texts hold the end id only; rows with the same id follow one another in the order of a hash of their
+    Null and empty texts hold the end id only, very long ones are encoded whole; rows with the same id follow one another in the order of a hash of their
     text; an empty table gives a table without shards; other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_tie"), T.as_bytes(F.col(text_col)).alias("_text"))
