@@ -2,14 +2,15 @@
 
 Unit vectors are cut into halves; each half has its own codebook, and the pairs of codewords form a grid of cells. A vector lies
 in the cell of its nearest codewords. To find what lies near it, a multi-sequence traversal visits cells from the nearest on:
-per half and codeword the squared distance to that codeword's region is bounded from below (by the planes between codewords), the
-two halves' bounds are summed, and cells are visited in the order of the sum up to a limit. The limit is set on planted pairs at
+per half and codeword the squared distance to that codeword's region is bounded from below (by the planes that part it from the
+vector's nearest codewords), the two halves' bounds are summed, and cells are visited in the order of the sum up to a limit. The limit is set on planted pairs at
 exactly the threshold, so that `recall` of those would be visited (closer pairs more often); recall 1 takes the radius itself,
 which misses nothing. What is visited is verified by the cosine in double precision.
 
 Equal vectors are one class with a weight, so copies never meet in pairs. Each pair of classes is looked for from the lower cell
-only. Large cells are split: their members by a hash, and what visits them goes to every part. A part returns, for each class,
-how many vectors it linked, and a star forest of the links.
+only. The codebooks grow with the table up to MOST_CODES, so that cells stay small. Large cells are split both ways, members and
+visitors by hashes of their own, and every part of members meets every part of visitors: a task holds at most about two parts,
+whatever the cell. A part returns, for each class, how many vectors it linked, and a star forest of the links.
 """
 
 from __future__ import annotations
@@ -26,9 +27,10 @@ from furrow import session
 from furrow.operators.components import components
 
 SAMPLE = 20_000  #: vectors that codebooks are learnt from, those of lowest hash
-CELL = 24  #: classes that a cell should hold, up to MOST_CODES codewords a half
-MOST_CODES = 256
-PART = 4096  #: members of a part of a cell
+CELL = 24  #: classes that a cell should hold, up to MOST_CODES codewords a half (25 million classes)
+MOST_CODES = 1024  #: a twentieth of the sample
+PLANES = 8  #: nearest codewords whose planes bound distances
+PART = 4096  #: members, or visitors, of a part of a cell
 LINKS = "id long, h long, links long, to long"
 
 
@@ -40,7 +42,7 @@ class Grid:
     limit: float = np.inf
 
     def __post_init__(self) -> None:
-        self.gaps = tuple(np.sqrt(np.maximum(((c[:, None] - c[None]) ** 2).sum(2), 1e-12)) for c in self.codes)
+        self.gaps = tuple(np.sqrt(np.maximum((c**2).sum(1)[:, None] - 2 * c @ c.T + (c**2).sum(1), 1e-12)) for c in self.codes)
 
     def halves(self, u: np.ndarray) -> list[np.ndarray]:
         """Squared distances of each half to its codewords."""
@@ -55,9 +57,9 @@ class Grid:
         """Lower bounds of the squared distance of each half to each codeword's region."""
         out = []
         for d, gap in zip(self.halves(u), self.gaps, strict=True):
-            most = np.zeros_like(d)
-            for k in range(d.shape[1]):
-                np.maximum(most, (d - d[:, k : k + 1]) / (2 * gap[:, k]), out=most)
+            most, n = np.zeros_like(d), min(PLANES, d.shape[1])
+            for k in np.argpartition(d, n - 1, axis=1)[:, :n].T:
+                np.maximum(most, (d - np.take_along_axis(d, k[:, None], 1)) / (2 * gap[k]), out=most)
             out.append(most**2)
         return out
 
@@ -109,6 +111,7 @@ def unit(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.list_(pa.float32()))
     x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+    x = x / np.abs(x).max(1, keepdims=True)  # so that no square overflows or vanishes
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -177,13 +180,28 @@ def _links(classes: DataFrame, width: int, n: int, threshold: float, recall: flo
                 visits = [v if h in v else [h, *v] for v, h in zip(visits, home.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(home, pa.int64()), pa.array(visits, pa.list_(pa.int64()))], ["vector", "id", "weight", "h", "home", "visits"])
 
-    placed = session.written(classes.mapInArrow(place, "vector array<float>, id long, weight long, h long, home long, visits array<long>"), "placed")
-    # at most MOST_CODES ** 2 rows: safe to broadcast
-    parts = placed.groupBy(F.col("home").alias("cell")).agg(F.expr(f"CAST(ceil(count(*) / {PART}) AS INT)").alias("parts"))
-    members = placed.join(F.broadcast(parts), F.col("home") == F.col("cell")).select("cell", F.expr("CAST(pmod(h, parts) AS INT)").alias("part"), "id", "h", "weight", "home", "vector")
-    visitors = placed.withColumn("cell", F.explode("visits")).join(F.broadcast(parts), "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("cell", "part", "id", "h", "weight", "home", "vector")
+    kind = classes.schema["vector"].dataType.simpleString()
+    placed = session.written(classes.mapInArrow(place, f"vector {kind}, id long, weight long, h long, home long, visits array<long>"), "placed")
+    sizes = placed.groupBy(F.col("home").alias("cell")).agg(F.count("*").alias("m"))
+    visits = placed.select(F.explode("visits").alias("cell")).groupBy("cell").agg(F.count("*").alias("v"))
+    # at most MOST_CODES ** 2 rows; cells that nothing is in are not visited
+    cells = sizes.join(visits, "cell").select("cell", F.expr(f"CAST(ceil(m / {PART}) AS INT)").alias("ms"), F.expr(f"CAST(ceil(v / {PART}) AS INT)").alias("vs"))
+    cells = session.written(cells, "cells")
+    one = cells.agg(F.max("ms").alias("ms"), F.max("vs").alias("vs")).first()
+    split = (one["ms"] or 1) > 1 or (one["vs"] or 1) > 1
+    row = lambda df, *part: df.select("cell", *part, "id", "h", "weight", "home", "vector")
+    known = placed.withColumn("cell", F.explode("visits")).join(cells, "cell")
+    own = placed.withColumn("cell", F.col("home")).join(cells.where("ms > 1 OR vs > 1"), "cell", "left") if split else placed.withColumn("cell", F.col("home"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    deal = lambda n, salt: F.expr(f"CAST(pmod(xxhash64(h, id, {salt}), {n}) AS INT)")
+    if split:
+        own = own.fillna(1, ["ms", "vs"])
+        members = row(own.select("*", deal("ms", 1).alias("mp"), every("vs").alias("vp")), "mp", "vp")
+        visitors = row(known.select("*", every("ms").alias("mp"), deal("vs", 2).alias("vp")), "mp", "vp")
+    else:
+        members, visitors = (row(df, F.lit(0).alias("mp"), F.lit(0).alias("vp")) for df in (own, known))
     visitors = visitors.select(*(F.col(c).alias(c) for c in visitors.columns))  # columns of its own beside members'
-    found = members.groupBy("cell", "part").cogroup(visitors.groupBy("cell", "part")).applyInArrow(_compare(width, threshold), LINKS)
+    found = members.groupBy("cell", "mp", "vp").cogroup(visitors.groupBy("cell", "mp", "vp")).applyInArrow(_compare(width, threshold), LINKS)
     return session.written(found, "vector-links")
 
 
@@ -191,10 +209,13 @@ def near_dedup(vectors: DataFrame, threshold: float = 0.95, recall: float = 0.99
     """id, n_links, component_id and kept of every row.
 
     Null or zero vectors and vectors with null or non-finite components link with nothing, others with vectors of equal width;
-    each width has an index of its own. Rows with the same id are one node of the components but separate vectors for n_links.
+    each width has an index of its own. A cosine of exactly the threshold links; float vectors are compared in double precision,
+    and all other numbers are read as doubles. Rows with the same id are one node of the components but separate vectors for n_links.
     Other columns are not read; an empty table gives no rows.
     """
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("vector"))
+    kind = vectors.schema[vector_col].dataType.elementType.simpleString()
+    kind = kind if kind in ("float", "double") else "double"
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(f"array<{kind}>").alias("vector"))
     fine = F.coalesce(F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0) & F.col("id").isNotNull(), F.lit(False))
     rows = rows.withColumn("vector", F.when(fine, F.col("vector")))
     classes = rows.where("vector IS NOT NULL").groupBy("vector").agg(F.min("id").alias("id"), F.count("*").alias("weight")).withColumn("h", F.xxhash64("vector"))

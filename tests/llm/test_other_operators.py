@@ -78,6 +78,36 @@ def test_vectors_of_each_width_are_linked(spark, recall):
         assert {i: r.n_links for i, r in got.items()} == want
 
 
+def test_large_cells_are_split_both_ways(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "PART", 16)
+    rows = planted()
+    g = np.random.default_rng(9)
+    rows += [(7000 + i, (np.ones(8) + 0.05 * g.normal(size=8)).astype("f4").tolist()) for i in range(300)]
+    df = spark.createDataFrame([(i, v, 0, 9, "x") for i, v in rows], SCHEMA).repartition(4)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_dedup(df, recall=1.0).collect()}
+    assert got == {i: (n, c, i == c) for i, n, c in brute(rows)}
+
+
+def test_bounds_are_below_the_distances_to_cells():
+    g = np.random.default_rng(3)
+    x = g.normal(size=(3000, 12))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    grid = embedding_dedup.learn(x, 40_000, 0.95, 1.0)
+    assert len(grid.codes[0]) > 2 * embedding_dedup.PLANES
+    for half, (codes, bound) in enumerate(zip(grid.codes, grid.bounds(x[:40]), strict=True)):
+        part = x[:, 6 * half : 6 * half + 6]
+        cell = ((part[:, None] - codes[None]) ** 2).sum(2).argmin(1)
+        for c in np.unique(cell):
+            least = ((part[:40, None] - part[None, cell == c]) ** 2).sum(2).min(1)
+            assert (bound[:, c] <= least + 1e-9).all()
+
+
+def test_doubles_are_not_narrowed(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0 + 1e-12, 0.0]), (3, [1e300, 1e-300]), (4, [0.95, float(np.sqrt(1 - 0.95**2)) + 2e-9]), (5, [1e-46, 0.0])]
+    got = {r.vec_id: r.component_id for r in embedding_dedup.near_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), recall=1.0).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 1}
+
+
 def test_no_vectors(spark):
     assert embedding_dedup.near_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
     one = embedding_dedup.near_dedup(spark.createDataFrame([(1, None, 0, 1, "")], SCHEMA)).first()
