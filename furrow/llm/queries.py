@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -34,7 +33,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    to = f"{session.scratch(spark).rstrip('/')}/furrow-tokens-{uuid.uuid4().hex}"
+    to = session.place(spark, "tokens")
     token_files.write(table(spark, sf_dir, "documents"), to, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return token_files.read(spark, to)
 
@@ -60,9 +59,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations are written as plain transcripts, and their roles and turns recovered from these."""
-    raw = chat.transcripts(table(spark, sf_dir, "conversations")).withColumn("key", F.struct("conv_id", "part"))
-    found = chat.parsed(raw.select("key", "text"), "key", "text")
+    """Conversations are written as plain transcripts, many markers of which are missing or odd, and their roles and turns recovered."""
+    conversations = table(spark, sf_dir, "conversations")
+    raw = chat.transcripts(conversations).withColumn("key", F.struct("conv_id", "part"))
+    found = chat.parsed(raw.select("key", "text"), "key", "text", chat.learn(conversations), escaped=True)
     return found.select("key.conv_id", "key.part", F.size("turns").cast("long").alias("n_turns"), F.array_join(F.transform("turns", lambda t: t["role"]), ",").alias("roles"), F.sha2("rendered", 256).alias("rendered_sha256"))
 
 
@@ -98,7 +98,10 @@ ORACLE_SQL: dict[str, str] = {
     "op8_chat": r"""
         SELECT conv_id, turn // 512 AS part, count(*) AS n_turns, string_agg(role, ',' ORDER BY turn) AS roles,
                sha256(string_agg('<|' || role || '|>' || chr(10) || trim(coalesce(text, ''), chr(10)) || chr(10) || '<|end|>' || chr(10), '' ORDER BY turn)) AS rendered_sha256
-        FROM conversations GROUP BY ALL""",
+        FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL
+        UNION ALL
+        SELECT conv_id, turn // 512, 1, role, sha256('<|' || role || '|>' || chr(10) || trim(coalesce(text, ''), chr(10)) || chr(10) || '<|end|>' || chr(10))
+        FROM conversations WHERE conv_id IS NULL OR turn IS NULL""",
     "op4_substring_dedup": r"""
         WITH texts AS (
             SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents

@@ -127,13 +127,69 @@ def test_roles_of_transcripts(text, roles):
     assert chat.render(chat.parse(text)).count("<|end|>") == len(roles)
 
 
+def conversations(spark, rows):
+    return spark.createDataFrame([(*r, "k", 7) for r in rows], "conv_id long, turn long, role string, text string, key string, part int")
+
+
+def recovered(df, model):
+    got = chat.parsed(chat.transcripts(df).withColumn("k", F.struct("conv_id", "part")).select("k", "text"), "k", "text", model, True).collect()
+    return {(r.k.conv_id, r.k.part): [(t.role, t.text) for t in r.turns] for r in got}
+
+
 def test_conversations_come_back_whole(spark):
-    rows = [(c, t, ["user", "assistant"][t % 2], f"text {t} of {c}\nsecond line.") for c in range(9) for t in range(5)] + [(100, None, None, None), (100, 0, "user", "x y"), (101, 0, "user", "")]
-    df = spark.createDataFrame([(*r, "k") for r in rows], "conv_id long, turn long, role string, text string, key string")
-    got = chat.parsed(chat.transcripts(df).withColumn("k", F.struct("conv_id", "part")).select("k", "text"), "k", "text").collect()
-    back = {r.k.conv_id: [(t.role, t.text) for t in r.turns] for r in got}
-    assert all(back[c] == [(r, x) for cc, _, r, x in rows if cc == c] for c in range(9)) and len(back) == 11
-    assert chat.transcripts(df.limit(0)).count() == 0
+    odd = "User: hi\nAssistant: x\n\n### System:\n\\User: y\n[tool] z\n- a\n  b?\nNote: this\n<|user|>\nend"
+    rows = [(c, t, ["user", "assistant"][t % 2], f"text {t} of {c}\nsecond line. {odd if (c + t) % 3 == 0 else ''}") for c in range(40) for t in range(c % 7 + 2)]
+    rows += [(c, t, ["system", "user", "assistant", "tool"][t], f"text {t} of {c}\n{odd}") for c in range(100, 140) for t in range(4)]
+    df = conversations(spark, rows)
+    model = chat.learn(df)
+    back = recovered(df, model)
+    assert back == {(c, 0): [(r, x) for cc, _, r, x in rows if cc == c] for c in {r[0] for r in rows}}
+    written = {(r.conv_id): r.text for r in chat.transcripts(df).collect()}
+    assert sum(chat.default().observe(x.split("\n")[0])[0] > 3 for t in written.values() for x in t.split("\n\n")) > 40  # turns without a marker
+
+
+def test_odd_conversations(spark):
+    rows = [(None, 3, "user", "lost"), (None, 3, "user", "lost"), (7, None, "assistant", "no number"), (8, 0, "user", None), (8, 1, "assistant", ""), (8, 2, None, "who"), (9, 0, "critic", "x\ny"), (9, 1, "user", "z")]
+    rows += [(10, t, ["user", "assistant"][t % 2], f"turn {t}") for t in range(1300)] + [(11, 0, "user", "same")] * 3 + [(12, 0, "user", "long " * 200_000 + "\n" + "line\n" * 3000 + "end")]
+    df = conversations(spark, rows)
+    got = chat.transcripts(df).collect()
+    assert sorted((r.conv_id or 0, r.part if r.part is not None else -1) for r in got) == [(0, 0), (0, 0), (7, -1), (8, 0), (9, 0), (10, 0), (10, 1), (10, 2), (11, 0), (12, 0)]
+    model = chat.learn(df)
+    back = recovered(df, model)
+    assert "critic" in model.roles and back[9, 0] == [("critic", "x\ny"), ("user", "z")] and back[7, None] == [("assistant", "no number")] and back[None, 0] == [("user", "lost")]
+    assert [len(back[10, k]) for k in range(3)] == [512, 512, 276] and back[10, 1] == [(r, x) for c, t, r, x in rows if c == 10 and 512 <= t < 1024]
+    assert back[8, 0][:2] == [("user", ""), ("assistant", "")] and back[8, 0][2][1] == "who" and back[11, 0] == [("user", "same")] * 3
+    assert back[12, 0] == [("user", rows[-1][3])]
+    none = df.limit(0)
+    assert chat.transcripts(none).count() == 0 and chat.parsed(chat.transcripts(none), "conv_id", "text").count() == 0 and chat.learn(none).roles == tuple(chat.MARKERS)
+    with pytest.raises(ValueError):
+        chat.parsed(got and df.withColumnRenamed("key", "turns"), "turns", "text")
+
+
+def test_roles_without_their_markers(spark):
+    """Markers removed at random, from first turns and neighbours as well."""
+    g = np.random.default_rng(6)
+    df = spark.read.parquet("/root/testdata/sf0.1/conversations.parquet")
+    model, rows = chat.learn(df), df.where(chat.T.held_out(F.col("conv_id"))).orderBy("conv_id", "turn").collect()
+    texts, want = {}, {}
+    for r in rows:
+        mark = "" if g.random() < 0.3 else f"{r.role}: "
+        texts[r.conv_id] = texts.get(r.conv_id, "") + mark + r.text.replace("\n\n", "\n").strip("\n") + "\n\n"
+        want.setdefault(r.conv_id, []).append(r.role)
+    found = [[r for r, _ in x] for x in model.parse(list(texts.values()))]
+    right = sum(a == b for x, y in zip(found, want.values()) for a, b in zip(x, y) if len(x) == len(y))
+    assert right > 0.9 * len(rows) and abs(sum(map(len, found)) - len(rows)) <= 0.02 * len(rows)
+
+
+def test_viterbi_is_the_likeliest_of_all_paths():
+    from itertools import product
+
+    model, g = chat.model(("user", "assistant")), np.random.default_rng(8)
+    seen = [g.integers(0, 7, n) for n in (1, 2, 3, 4, 5, 0, 4)]
+    for x, got in zip(seen, model.states(seen)):
+        weigh = lambda p: model.start[p[0]] + model.emit[0, p[0], x[0]] + sum(model.step[(b := int(x[t - 1] == 3)), p[t - 1], p[t]] + model.emit[b, p[t], x[t]] for t in range(1, len(x)))
+        if len(x):
+            assert weigh(got) == pytest.approx(max(weigh(p) for p in product(range(4), repeat=len(x))))
 
 
 def test_pipeline_stage_by_stage(spark):
