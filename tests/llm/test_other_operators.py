@@ -240,3 +240,59 @@ def test_pipeline_near_dedup_with_clashing_and_missing_ids(spark):
     assert got.columns == docs.columns
     want = [(1, prose(1)), (2, prose(2)), (2, prose(3)), (3, prose(4)), (4, prose(5)), (None, prose(6)), (None, prose(7)), (6, prose(8))]
     assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter(want)
+
+
+def test_pipeline_with_clashing_columns_and_without_n_chars(spark, odd, tmp_path):
+    d = str(tmp_path)
+    spark.createDataFrame([(1, 1, 0), (6, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    clash = {c: F.lit(c) for c in ("_", "none", "c0", "_others", "_null", "_rest", "_text", "_kept", "_sha", "sha", "n_words", "a b", "_cuts", "tie", "cuts", "_mid", "_lid", "k", "ids", "decoded")}
+    wide = odd.withColumns(clash | {"m": F.create_map(F.lit("a"), F.lit(1)), "n": F.struct(F.lit(1).alias("x"))}).drop("n_chars")
+    plain = odd.select("doc_id", "text", "lang", "source")
+    outs = []
+    for docs in (wide, plain, wide.limit(0)):
+        columns = docs.columns
+        for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            docs = stage(spark, docs, d).cache()
+            assert i == 4 or docs.columns == columns
+        outs.append(Counter((r.doc_id, r.lang, r.source, r.n_tokens, bytes(r.ids), r.round_trip) for r in docs.collect()))
+    assert outs[0] == outs[1] and all(k[-1] for k in outs[0]) and not outs[2]
+
+
+def test_pipeline_against_plain_stages(spark):
+    """All five stages in plain Python; only the classifier's features and weights, tested elsewhere, are taken from the library."""
+    import test_text_operators as plain
+
+    d = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    model = quality_classifier.train(docs, labels)
+    rows = [r.asDict() for r in docs.orderBy("doc_id").collect()]
+    rows = [r for r in rows if model.score(np.array([plain.plain_shares(r["text"] or "")]))[0] >= 0.3]
+    label = plain.brute_components([plain.brute_fingerprint(r["text"]) for r in rows])
+    rows = [r for i, r in enumerate(rows) if label[i] == i]
+    seen = set()
+    for r in rows:  # windows are judged on the input
+        words = plain.WORD.findall(r["text"] or "")
+        gone = set()
+        for j in range(len(words) - 19):
+            key = tuple(words[j : j + 20])
+            gone |= set(range(j, j + 20)) if key in seen else set()
+            seen.add(key)
+        r["words"] = [w for j, w in enumerate(words) if j not in gone]
+    size = Counter()
+    for r in rows:
+        size[r["source"]] += len(r["words"])
+    out = corpus_pipeline.run(spark, d).collect()
+    taken = Counter()
+    encoding = byte_bpe.Codec(*_vocabulary()).encoding
+    by_id = {r["doc_id"]: r for r in rows}
+    for r in out:
+        words = plain.WORD.findall(encoding.decode(np.frombuffer(r.ids, "<u4").tolist()))
+        own = by_id[r.doc_id]["words"]
+        assert r.round_trip and r.n_tokens == len(r.ids) // 4 and (not words or words[0] in own) and len(words) <= len(own)
+        assert encoding.encode_ordinary(encoding.decode(np.frombuffer(r.ids, "<u4").tolist())) == np.frombuffer(r.ids, "<u4").tolist()
+        taken[r.source] += len(words)
+        by_id[r.doc_id]["taken"] = by_id[r.doc_id].get("taken", 0) + len(words)
+    assert all(r.get("taken", 0) <= 3 * len(r["words"]) for r in rows)
+    weight = {s: i % 3 + 1 for i, s in enumerate(sorted(size, key=lambda s: (s is None, s or "")))}
+    target = dict(zip(sorted(size, key=lambda s: (s is None, s or "")), mixing.water_fill(list(weight.values()), [3 * size[s] for s in weight], sum(size.values()))))
+    assert all(abs(taken[s] - target[s]) <= 2 + sum(size.values()) / 1000 for s in size)
