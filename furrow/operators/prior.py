@@ -83,8 +83,8 @@ def pseudo_labels(df: DataFrame, ndvi: str = "ndvi", prior: str = "prior", terra
 
 
 def mine(df: DataFrame, most: int = 200, seed: int = 42, key: str = "pixel") -> DataFrame:
-    """At most `most` pixels of each pseudo label, drawn by a hash of the key, so that reruns agree."""
-    order = F.xxhash64(F.lit(seed), F.col(key))
+    """At most `most` pixels of each pseudo label, drawn by the MD5 of seed and key, so that reruns agree."""
+    order = F.md5(F.concat_ws(":", F.lit(seed), F.col(key)))
     side = lambda k: df.where(F.col("pseudo") == k).orderBy(order, key).limit(most)
     return side(1).unionByName(side(0))
 

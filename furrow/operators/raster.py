@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from furrow.functions import geo
+
 
 def along(axis: str, keys: Sequence[str] = ()) -> Window:
     """The window over one row (axis "c") or one column (axis "r")."""
@@ -210,3 +212,39 @@ def resample_bilinear(target: DataFrame, source: DataFrame, scale_r: float, scal
     right = source.select(F.col("r").alias("_sr"), F.col("c").alias("_sc"), F.col(value).alias("_sv"))
     met = four.join(right, (F.col("_q.sr") == F.col("_sr")) & (F.col("_q.sc") == F.col("_sc")))
     return met.groupBy(*target.columns).agg(F.sum(F.col("_sv") * F.col("_q.k")).alias(value))
+
+
+def source_pixel(target_transform: Sequence[float], source_transform: Sequence[float], zone: int | None = None, northern: bool = True) -> Column:
+    """struct(row, col), as exact numbers, in a source raster of each target pixel's centre (columns r, c).
+
+    Transforms are (step x, 0, x0, 0, step y, y0). zone: the target lies in that UTM zone and the source in degrees.
+    """
+    a, _, x0, _, e, y0 = target_transform
+    x, y = F.lit(float(x0)) + (F.col("c") + 0.5) * a, F.lit(float(y0)) + (F.col("r") + 0.5) * e
+    sa, _, sx, _, se, sy = source_transform
+    place = lambda px, py: F.struct(((py - sy) / se).alias("row"), ((px - sx) / sa).alias("col"))
+    if zone is None:
+        return place(x, y)
+    return geo.let(geo.utm_to_wgs84(x, y, F.lit(zone), F.lit(northern)), lambda g: place(g["lon"], g["lat"]))
+
+
+def reproject_nearest(target: DataFrame, source: DataFrame, target_transform: Sequence[float], source_transform: Sequence[float], values: Sequence[str], zone: int | None = None, northern: bool = True) -> DataFrame:
+    """Values of the source pixel under each target pixel's centre; null outside the source. One equi-join."""
+    right = source.select(F.col("r").alias("_sr"), F.col("c").alias("_sc"), *values)
+    at = target.withColumn("_p", source_pixel(target_transform, source_transform, zone, northern))
+    return at.withColumn("_sr", F.floor("_p.row")).withColumn("_sc", F.floor("_p.col")).join(right, ["_sr", "_sc"], "left").drop("_sr", "_sc", "_p")
+
+
+def reproject_bilinear(target: DataFrame, source: DataFrame, target_transform: Sequence[float], source_transform: Sequence[float], value: str, zone: int | None = None, northern: bool = True) -> DataFrame:
+    """The value at each target pixel's centre between the four nearest source pixels, held at the borders; null outside."""
+    size = F.broadcast(extent(source))  # one row
+    at = target.withColumn("_p", source_pixel(target_transform, source_transform, zone, northern)).crossJoin(size)
+    inside = at.where("_p.row >= 0 AND _p.row < _h AND _p.col >= 0 AND _p.col < _w")
+    held = lambda p, n: F.greatest(F.lit(0.0), F.least(F.col(p) - 0.5, F.col(n) - 1.0))
+    placed = inside.withColumn("_y", held("_p.row", "_h")).withColumn("_x", held("_p.col", "_w"))
+    y0, x0 = F.floor("_y"), F.floor("_x")
+    corner = lambda dy, dx: F.struct(F.least(y0 + dy, F.col("_h") - 1).cast("long").alias("sr"), F.least(x0 + dx, F.col("_w") - 1).cast("long").alias("sc"), ((F.col("_y") - y0 if dy else 1 - F.col("_y") + y0) * (F.col("_x") - x0 if dx else 1 - F.col("_x") + x0)).alias("k"))
+    four = placed.withColumn("_q", F.explode(F.array(*(corner(i, j) for i in (0, 1) for j in (0, 1))))).where("_q.k > 0")
+    right = source.select(F.col("r").alias("_sr"), F.col("c").alias("_sc"), F.col(value).alias("_sv"))
+    met = four.join(right, (F.col("_q.sr") == F.col("_sr")) & (F.col("_q.sc") == F.col("_sc"))).groupBy("r", "c").agg(F.sum(F.col("_sv") * F.col("_q.k")).alias(value))
+    return target.join(met, ["r", "c"], "left")

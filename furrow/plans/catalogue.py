@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from furrow.plans import fixtures, places, rasters, statistics, timeseries  # noqa: F401
+from furrow.plans import fixtures, places, rasters, scenes, statistics, timeseries  # noqa: F401
 
 QUERIES, ORACLE_SQL = fixtures.QUERIES, fixtures.ORACLE_SQL

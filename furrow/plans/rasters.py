@@ -67,10 +67,9 @@ def local_contrast(spark: SparkSession, d: str) -> DataFrame:
     return raster.local_contrast(X.grid(spark, d), "conf").select("r", "c", r4n(F.col("contrast")).alias("contrast"), r4n(F.col("local_std")).alias("local_std"))
 
 
-@query_n(G + ", " + _near(7, "value") + " SELECT r, c, round(sqrt(greatest(q - m * m, 0)) / greatest(m, 1), 4) AS texture FROM near")
+@query_n(G + ", " + _near(11, "value") + " SELECT r, c, round(sqrt(greatest(q - m * m, 0)) / greatest(m, 1), 4) AS texture FROM near")
 def focal_texture(spark: SparkSession, d: str) -> DataFrame:
-    """The texture measure over a 7-pixel square, so that the smallest grid (10 rows) is larger than half of it."""
-    return raster.texture(X.grid(spark, d), "value", 7).select("r", "c", r4n(F.col("texture")).alias("texture"))
+    return raster.texture(X.grid(spark, d), "value", 11).select("r", "c", r4n(F.col("texture")).alias("texture"))
 
 
 def _mirror(x: str, n: str) -> str:
@@ -192,7 +191,9 @@ def superpixel_majority(spark: SparkSession, d: str) -> DataFrame:
     return parcels.superpixel_majority(s).select("r", "c", "kept")
 
 
-@query()
+@query(G + """, k AS (SELECT r // 10 AS i, c // 10 AS j, avg(r) AS y, avg(c) AS x, avg(value) AS m FROM g GROUP BY 1, 2),
+    d AS (SELECT g.r, g.c, k.i, k.j, ((g.r - k.y) * (g.r - k.y) + (g.c - k.x) * (g.c - k.x)) * 0.25 + (g.value - k.m) * (g.value - k.m) AS d FROM g JOIN k ON k.i BETWEEN g.r // 10 - 1 AND g.r // 10 + 1 AND k.j BETWEEN g.c // 10 - 1 AND g.c // 10 + 1),
+    n AS (SELECT i, j FROM d QUALIFY row_number() OVER (PARTITION BY r, c ORDER BY d, i, j) = 1) SELECT i * 2147483648 + j AS segment, count(*) AS pixels FROM n GROUP BY 1""")
 def superpixels(spark: SparkSession, d: str) -> DataFrame:
     return parcels.superpixels(X.grid(spark, d).select("r", "c", "value"), "value").groupBy("segment").agg(F.count("*").alias("pixels"))
 
@@ -298,11 +299,6 @@ def training_points(spark: SparkSession, d: str) -> DataFrame:
     return synthetic.training_points(spark, X.LEGEND, 60).groupBy("label").agg(F.count("*").alias("n"))
 
 
-@query()
-def synthetic_scene(spark: SparkSession, d: str) -> DataFrame:
-    return synthetic.scene(spark, 90, 110).groupBy("code").agg(F.count("*").alias("pixels"), F.round(F.avg(S.mean(F.col("ndvi"))), 3).alias("mean"))
-
-
 @query()
 def demo_scene(spark: SparkSession, d: str) -> DataFrame:
     """The quick start: a small forest on the demo scene, its accuracy, and the calibrated areas of its map."""

@@ -127,7 +127,7 @@ def naive_calibration(spark: SparkSession, d: str) -> DataFrame:
     return estimate.naive_calibration(X.class_map(spark, d), X.sample(spark, d), X.SAMPLE_CODES)
 
 
-DRAWS = 100
+DRAWS = 2000
 
 
 @query(f"""WITH pix AS ({X.MAP_SQL}), smp AS ({X.SAMPLE_SQL}), codes AS (SELECT * FROM (VALUES {_values(X.SAMPLE_CODES)}) AS v(code)),

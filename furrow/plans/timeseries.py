@@ -242,9 +242,12 @@ def pseudo_labels(spark: SparkSession, d: str) -> DataFrame:
     return prior.pseudo_labels(w, "v", "prior", "steep").select("user_id", "k", "pseudo", "kind")
 
 
-@query()
+@query(WIDE + f""", p AS (SELECT *, CAST({PRIOR_SQL} AS DOUBLE) AS prior, list_min(v) AS lo, list_max(v) AS hi, list_avg(v) AS mean, user_id * 4 + k AS pixel FROM w),
+    q AS (SELECT *, prior >= 0.70 AND lo <= 0.40 AND hi >= 0.50 AND hi - lo >= 0.20 AS pos, CASE WHEN hi <= 0.22 OR lo <= 0 THEN 'water' WHEN hi <= 0.32 AND hi - lo <= 0.15 THEN 'built' WHEN lo >= 0.42 AND mean >= 0.55 THEN 'forest' END AS neg FROM p),
+    z AS (SELECT pixel, CAST(CASE WHEN pos THEN 1 WHEN neg IS NOT NULL THEN 0 END AS INT) AS pseudo, CASE WHEN pos THEN 'crop' ELSE neg END AS kind FROM q)
+    SELECT pixel, pseudo, kind FROM z WHERE pseudo IS NOT NULL QUALIFY row_number() OVER (PARTITION BY pseudo ORDER BY md5('42:' || pixel), pixel) <= 100""")
 def mined_samples(spark: SparkSession, d: str) -> DataFrame:
-    """A drawn sample of pseudo labels: the draw is by a hash that SQL does not have."""
+    """A drawn sample of pseudo labels."""
     w = _wide(spark, d).withColumn("prior", prior.builtin_prior(F.col("v"))).withColumn("pixel", F.col("user_id") * 4 + F.col("k"))
     return prior.mine(prior.pseudo_labels(w, "v", "prior"), 100).select("pixel", "pseudo", "kind")
 

@@ -31,8 +31,8 @@ FACILITY = (0.45, 0.52, 0.55, 0.58, 0.60, 0.58, 0.52, 0.48)
 
 
 def _uniform(*parts: Column) -> Column:
-    """0 to 1 from a hash of the parts."""
-    return F.shiftrightunsigned(F.xxhash64(*parts), 11) / float(1 << 53)
+    """0 to 1 from the first 13 hex digits of the MD5 of the parts, joined by colons."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *(p.cast("string") for p in parts))), 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
 def _normal(*parts: Column) -> Column:

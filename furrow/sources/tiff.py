@@ -270,7 +270,24 @@ def pixel_series(tiles: DataFrame) -> DataFrame:
     return tiles.groupBy("r", "c").agg(s.alias("s")).select("r", "c", F.transform("s", lambda x: x["doy"]).alias("days"), F.transform("s", lambda x: x["value"]).alias("values"))
 
 
-def write_tiff(path: str, a: np.ndarray, transform: tuple[float, ...] = (1.0, 0.0, 0.0, 0.0, -1.0, 0.0), epsg: int | None = None, nodata: float | None = None, rows: int = 256) -> None:
+def write_tiff(path: str, a: np.ndarray, *args, **kwargs) -> None:
+    """tiff_bytes() in a local file."""
+    with open(path, "wb") as f:
+        f.write(tiff_bytes(a, *args, **kwargs))
+
+
+def put(spark: SparkSession, path: str, data: bytes) -> None:
+    """A file at any path that Spark can reach."""
+    jvm = spark.sparkContext._jvm
+    to = jvm.org.apache.hadoop.fs.Path(path)
+    out = to.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(to, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
+def tiff_bytes(a: np.ndarray, transform: tuple[float, ...] = (1.0, 0.0, 0.0, 0.0, -1.0, 0.0), epsg: int | None = None, nodata: float | None = None, rows: int = 256) -> bytes:
     """A deflated TIFF of one band or several (bands, rows, cols), in strips."""
     a = a[None] if a.ndim == 2 else a
     n, h, w = a.shape
@@ -296,18 +313,73 @@ def write_tiff(path: str, a: np.ndarray, transform: tuple[float, ...] = (1.0, 0.
     begins = tuple(int(x) for x in at + np.concatenate([[0], np.cumsum([len(s) for s in strips])[:-1]]))
     tags = [(t, k, begins if t == 273 else v) for t, k, v in tags]
     body = lambda k, v: v[0] if k == 2 else struct.pack("<" + _kinds[k] * len(v), *v)
-    with open(path, "wb") as f:
-        f.write(struct.pack("<2sHIH", b"II", 42, 8, len(tags)))
-        for t, k, v in tags:
+    out = bytearray(struct.pack("<2sHIH", b"II", 42, 8, len(tags)))
+    for t, k, v in tags:
+        raw = body(k, v)
+        out += struct.pack("<HHI", t, k, len(v[0]) if k == 2 else len(v)) + (struct.pack("<I", places[t]) if t in places else raw.ljust(4, b"\0"))
+    out += struct.pack("<I", 0)
+    for t, k, v in tags:
+        if t in places:
             raw = body(k, v)
-            f.write(struct.pack("<HHI", t, k, len(v[0]) if k == 2 else len(v)) + (struct.pack("<I", places[t]) if t in places else raw.ljust(4, b"\0")))
-        f.write(struct.pack("<I", 0))
-        for t, k, v in tags:
-            if t in places:
-                raw = body(k, v)
-                f.write(raw + b"\0" * (len(raw) % 2))
-        for s in strips:
-            f.write(s)
+            out += raw + b"\0" * (len(raw) % 2)
+    return bytes(out) + b"".join(strips)
+
+
+CATALOG = "scene string, doy int, bands int, height long, width long, multispectral boolean, step double, x0 double, y0 double, epsg int, nodata double"
+
+
+def catalog(spark: SparkSession, path: str) -> DataFrame:
+    """One row a file at a path that Spark can reach, from its header: scene, doy, size, transform, EPSG code and nodata."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{tif,tiff}").option("recursiveFileLookup", "true").load(path).select("path", "content")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pandas as pd
+
+        for b in batches:
+            rows = []
+            for name, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                name, t = os.path.basename(name), Tiff.open(name, data)
+                rows.append((name, parse_doy(name), t.bands, t.height, t.width, t.bands >= 6, t.transform[0], t.transform[2], t.transform[5], t.epsg, t.nodata))
+            kinds = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.float64(), pa.float64(), pa.float64(), pa.int32(), pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], [c.split()[0] for c in CATALOG.split(", ")])
+
+    return files.mapInArrow(run, CATALOG)
+
+
+def banded(tiles: DataFrame) -> DataFrame:
+    """(doy, r, c, b1, b2 ...): the bands of each pixel and date beside one another, one partially aggregated pass."""
+    return tiles.groupBy("doy", "r", "c").agg(*(F.max(F.when(F.col("band") == b, F.col("value"))).alias(f"b{b}") for b in range(1, 6)))
+
+
+def channels(tiles: DataFrame) -> DataFrame:
+    """(r, c, days, ndvi, lswi, gcvi, cv): index series of each pixel of six-band scenes, dates in order; cv: of the bands' values.
+
+    Bands: 1 blue, 2 green, 3 red, 4 near infrared, 5 short-wave infrared; water takes fixed index values.
+    """
+    from furrow.functions import spectral
+
+    bands = [F.col(f"b{b}") for b in range(1, 6)]
+    mean = sum(bands[1:], bands[0]) / 5
+    spread = F.sqrt(F.greatest(F.lit(0.0), sum((x * x for x in bands[1:]), bands[0] * bands[0]) / 5 - mean * mean))
+    one = spectral.with_indices(banded(tiles)).withColumn("cv", F.when(mean > 0, spread / mean).otherwise(0.0))
+    s = F.sort_array(F.collect_list(F.struct("doy", "ndvi", "lswi", "gcvi", "cv")))
+    return one.groupBy("r", "c").agg(s.alias("s")).select("r", "c", F.col("s.doy").alias("days"), "s.ndvi", "s.lswi", "s.gcvi", "s.cv")
+
+
+def thumbnails(tiles: DataFrame, step: int) -> DataFrame:
+    """(doy, r, c, value) at block coordinates: NDVI of block means, its denominator raised by 1e-6, of scenes with four bands or more."""
+    small = tiles.groupBy("doy", "band", F.expr(f"CAST(r DIV {step} AS BIGINT)").alias("r"), F.expr(f"CAST(c DIV {step} AS BIGINT)").alias("c")).agg(F.avg("value").alias("value"))
+    b = banded(small)
+    return b.select("doy", "r", "c", F.when(F.col("b4").isNotNull(), (F.col("b4") - F.col("b3")) / (F.col("b4") + F.col("b3") + 1e-6)).otherwise(F.col("b1")).alias("value"))
+
+
+def composite(tiles: DataFrame) -> DataFrame:
+    """(r, c, red, green, blue) of the last date as 0 to 255: bands 3, 2 and 1 between their 2nd and 98th percentiles."""
+    last = banded(tiles.join(F.broadcast(tiles.agg(F.max("doy").alias("doy"))), "doy", "left_semi"))
+    names = {"red": "b3", "green": "b2", "blue": "b1"}
+    edges = last.agg(*(F.percentile(b, F.lit(p)).alias(f"{n}_{k}") for n, b in names.items() for k, p in (("lo", 0.02), ("hi", 0.98))))
+    one = lambda n, b: F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col(b) - F.col(f"{n}_lo")) / (F.col(f"{n}_hi") - F.col(f"{n}_lo") + 1e-5)))
+    return last.crossJoin(F.broadcast(edges)).select("r", "c", *(F.floor(one(n, b) * 255).cast("int").alias(n) for n, b in names.items()))  # one row of edges
 
 
 def class_tiles(pixels: DataFrame, block_size: int = 1024) -> DataFrame:

@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from furrow.operators import classify
+from furrow.functions import geo
+from furrow.operators import classify, raster
 from furrow.plans import pipeline
 from furrow.sources import synthetic, tables, tiff
 
@@ -84,3 +85,19 @@ def test_whole_chain(spark, tmp_path):
         assert (tmp_path / "out").joinpath(f).stat().st_size > 0
     assert (tmp_path / "out" / "briefing.html").stat().st_size > 3000
     assert r.parcels.count() > 0 and r.acreage.count() == 3
+
+
+def test_reprojection_from_degrees(spark):
+    """A raster in degrees under a UTM grid: each pixel's centre is looked up by its longitude and latitude."""
+    step = 1e-4
+    cover = spark.range(60 * 60).select(F.expr("id DIV 60").alias("r"), (F.col("id") % 60).alias("c")).withColumn("value", (F.col("r") * 1000 + F.col("c")).cast("double"))
+    target = spark.range(40 * 40).select(F.expr("id DIV 40").alias("r"), (F.col("id") % 40).alias("c"))
+    place = geo.utm_to_wgs84(F.lit(500000.0), F.lit(4200000.0), F.lit(50), F.lit(True))
+    lon, lat = spark.range(1).select(place.alias("g")).select("g.lon", "g.lat").first()
+    at, source = (10.0, 0.0, 500000.0, 0.0, -10.0, 4200000.0), (step, 0.0, lon - 5 * step, 0.0, -step, lat + 5 * step)
+    near = {(r.r, r.c): r.value for r in raster.reproject_nearest(target, cover, at, source, ["value"], 50).collect()}
+    smooth = {(r.r, r.c): r.value for r in raster.reproject_bilinear(target, cover, at, source, "value", 50).collect()}
+    assert len(near) == len(smooth) == 1600 and near[0, 0] == 5005
+    assert all(near[k] is None or abs(smooth[k] // 1000 - near[k] // 1000) <= 1 for k in near if smooth[k] is not None)
+    outside = raster.reproject_nearest(target, cover, at, (step, 0.0, lon + 1, 0.0, -step, lat), ["value"], 50)
+    assert outside.where("value IS NOT NULL").count() == 0 and outside.count() == 1600
