@@ -34,7 +34,7 @@ def train(spark: SparkSession, points: DataFrame, config: dict, n: int) -> tuple
     s = points.withColumn("ndvi", F.array(*(F.col(c).cast("double") for c in days)))
     x, columns = featured(s, "ndvi", n)
     c = config["classification"]
-    oof = classify.cross_validate(x, columns, "point_id", c["model_type"], min(20, c["n_estimators"]), min(8, c["max_depth"]), seed=c["random_state"])
+    oof = classify.cross_validate(x, columns, "point_id", c["model_type"], c["n_estimators"], c["max_depth"], seed=c["random_state"])
     scorer = classify.fit(x, columns, c["model_type"], c["n_estimators"], c["max_depth"], c["random_state"])
     if 0 in scorer.labels:
         scorer.threshold = classify.threshold_search(oof.withColumn("p_bg", F.get("probs", F.lit(scorer.labels.index(0))))).first()["th"]
@@ -73,7 +73,7 @@ def run(spark: SparkSession, scene: DataFrame, config: dict, out: str | None = N
     named = polygons.attributes(stats, polygons.rings(marked), estimate.legend_table(spark, legend), x0, y0, step, config["spatial"]["utm_zone"], config["spatial"]["northern"])
     named = session.written(named, "parcels")
     sample = sample if sample is not None else synthetic.validation_sample(grid, sorted(legend))
-    acreage = session.written(estimate.acreage_report(grid, sample, legend, step, draws=0), "acreage")
+    acreage = session.written(estimate.acreage_report(grid, sample, legend, step, draws=config["unbiased_estimation"]["n_bootstrap"]), "acreage")
     weights, p = estimate.prepare(grid, sample, sorted(legend))
     matrix = estimate.error_matrix_table(p, sorted(legend))
     plan = estimate.neyman(weights, legend, resolution=step)
@@ -89,7 +89,13 @@ def run(spark: SparkSession, scene: DataFrame, config: dict, out: str | None = N
 
         for name, df in (("parcels.csv", flat.orderBy("parcel_no")), ("provinces.csv", rollup.province_rollup(flat)), ("acreage.csv", acreage.orderBy("code")), ("error_matrix.csv", matrix), ("sample_plan.csv", plan.orderBy("code"))):
             sinks.write_csv_bom(df, files[name])
-        rotation = transition.compliance(transition.transition_matrix(transition.pair(grid, late), sorted(legend), step), legend, resolution=step) if late is not None else None
+        rotation = None
+        if late is not None:
+            matrix_of = session.written(transition.transition_matrix(transition.pair(grid, late), sorted(legend), step), "transitions")
+            rotation = transition.compliance(matrix_of, legend, resolution=step)
+            for name, df in (("transitions.csv", matrix_of.orderBy("early", "late")), ("rotation.csv", rotation)):
+                files[name] = os.path.join(out, name)
+                sinks.write_csv_bom(df, files[name])
         for name, page in (("briefing.html", report.briefing(acreage, flat, rotation, matrix, plan)), ("map.html", report.map_page(shapes, flat))):
             with open(files[name], "w", encoding="utf-8") as f:
                 f.write(page)

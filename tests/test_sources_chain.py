@@ -78,13 +78,14 @@ def test_snapshot_series_and_channels(spark):
 
 
 def test_whole_chain(spark, tmp_path):
-    config = tables.load_config(overrides={"legend": {0: "背景/非农田", 1: "玉米", 2: "小麦", 3: "大豆"}, "classification": {"model_type": "random_forest", "n_estimators": 12, "max_depth": 6, "random_state": 42}, "prior_fusion": {"enable": True, "hard_veto": False}})
+    config = tables.load_config(overrides={"legend": {0: "背景/非农田", 1: "玉米", 2: "小麦", 3: "大豆"}, "classification": {"model_type": "random_forest", "n_estimators": 12, "max_depth": 6, "random_state": 42}, "prior_fusion": {"enable": True, "hard_veto": False}, "unbiased_estimation": {"n_bootstrap": 200}})
     scene = synthetic.scene(spark, 60, 60, 3)
     r = pipeline.run(spark, scene, config, str(tmp_path / "out"), late=scene.select("r", "c", "code"))
     for f in r.files.values():
         assert (tmp_path / "out").joinpath(f).stat().st_size > 0
     assert (tmp_path / "out" / "briefing.html").stat().st_size > 3000
-    assert r.parcels.count() > 0 and r.acreage.count() == 3
+    assert r.parcels.count() > 0 and r.acreage.count() == 3 and {"transitions.csv", "rotation.csv"} <= set(r.files)
+    assert r.acreage.where("boot_low_mu > boot_high_mu OR boot_low_mu IS NULL").count() == 0
 
 
 def test_reprojection_from_degrees(spark):
