@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,9 +63,19 @@ def tiff_nodata(spark: SparkSession, d: str) -> DataFrame:
     return _cover(spark)
 
 
-INDEX = f"""WITH {WIDE}, m AS (SELECT *, (b2 - b5) / greatest(b2 + b5, 1e-4) AS mn, CASE WHEN b4 + b3 > 0 THEN (b4 - b3) / (b4 + b3) ELSE 0 END AS nd, CASE WHEN b4 + b5 > 0 THEN (b4 - b5) / (b4 + b5) ELSE 0 END AS ls, greatest(-2, least(10, CASE WHEN b2 > 0 THEN b4 / b2 - 1 ELSE 0 END)) AS gc, (b1 + b2 + b3 + b4 + b5) / 5 AS mean, (b1 * b1 + b2 * b2 + b3 * b3 + b4 * b4 + b5 * b5) / 5 AS sq FROM w),
+def _fold(x: str, n: int) -> str:
+    """A place beyond the border, mirrored with the border pixel repeated."""
+    return f"CASE WHEN {x} < 0 THEN -1 - ({x}) WHEN {x} >= {n} THEN {2 * n - 1} - ({x}) ELSE {x} END"
+
+
+FOUR = VALUE.replace(" b", " 4").replace("* b", "* 4").replace("r *", f"({_fold('y', ROWS)}) *").replace("c *", f"({_fold('x', COLS)}) *")
+BOX = "OVER (PARTITION BY d, {} ORDER BY {} ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING)"
+INDEX = f"""WITH {WIDE}, p AS (SELECT d, y, x, {FOUR} AS v FROM (VALUES {', '.join(f'({d})' for d in DAYS)}) d(d) CROSS JOIN range(-5, {ROWS + 5}) y(y) CROSS JOIN range(-5, {COLS + 5}) x(x)),
+    h AS (SELECT d, y, x, sum(v) {BOX.format('y', 'x')} AS s, sum(v * v) {BOX.format('y', 'x')} AS q FROM p), k AS (SELECT d AS doy, y AS r, x AS c, sum(s) {BOX.format('x', 'y')} / 121 AS mean, sum(q) {BOX.format('x', 'y')} / 121 AS sq FROM h),
+    t AS (SELECT * FROM k WHERE r >= 0 AND r < {ROWS} AND c >= 0 AND c < {COLS}),
+    m AS (SELECT w.*, mean, sq, (b2 - b5) / greatest(b2 + b5, 1e-4) AS mn, CASE WHEN b4 + b3 > 0 THEN (b4 - b3) / (b4 + b3) ELSE 0 END AS nd, CASE WHEN b4 + b5 > 0 THEN (b4 - b5) / (b4 + b5) ELSE 0 END AS ls, greatest(-2, least(10, CASE WHEN b2 > 0 THEN b4 / b2 - 1 ELSE 0 END)) AS gc FROM w JOIN t USING (doy, r, c)),
     x AS (SELECT *, (mn > 0.02 AND b4 < 1200) OR (nd < 0 AND mn > -0.05) OR nd < -0.05 AS water FROM m)
-    SELECT r, c, doy, round(CASE WHEN water THEN least(nd, -0.30) ELSE nd END, 4) AS ndvi, round(CASE WHEN water THEN 0.60 ELSE ls END, 4) AS lswi, round(CASE WHEN water THEN -1.0 ELSE gc END, 4) AS gcvi, round(CASE WHEN mean > 0 THEN sqrt(greatest(0, sq - mean * mean)) / mean ELSE 0 END, 4) AS cv FROM x"""
+    SELECT r, c, doy, round(CASE WHEN water THEN least(nd, -0.30) ELSE nd END, 4) AS ndvi, round(CASE WHEN water THEN 0.60 ELSE ls END, 4) AS lswi, round(CASE WHEN water THEN -1.0 ELSE gc END, 4) AS gcvi, round(sqrt(greatest(0, sq - mean * mean)) / greatest(mean, 1), 4) AS cv FROM x"""
 
 
 @query_n(INDEX)
@@ -90,6 +103,19 @@ def rgb_composite(spark: SparkSession, d: str) -> DataFrame:
 AT = f"(SELECT r, c, (4200000 - 10 * (r + 0.5) - 4200085) / -30 AS y, (500000 + 10 * (c + 0.5) - 499905) / 30 AS x FROM {PIXELS})"
 
 
+@query(f"SELECT r.range AS r, c.range AS c, CAST((r.range * 7 + c.range * 3) % 5 AS DOUBLE) AS value FROM range({ROWS}) r CROSS JOIN range({COLS}) c")
+def class_map(spark: SparkSession, d: str) -> DataFrame:
+    """A map written as one tiled TIFF with overviews, read back by Spark."""
+    pixels = spark.range(ROWS * COLS).select(F.expr(f"id DIV {COLS}").alias("r"), (F.col("id") % COLS).alias("c")).withColumn("code", F.expr("CAST((r * 7 + c * 3) % 5 AS INT)"))
+    with tempfile.TemporaryDirectory() as folder:
+        tiff.write_pyramid(tiff.class_tiles(pixels, 32), os.path.join(folder, "map.tif"), ROWS, COLS, MAP, 32650, 32)
+        with open(os.path.join(folder, "map.tif"), "rb") as f:
+            data = f.read()
+    to = session.place(spark, "map")
+    tiff.put(spark, f"{to}/map_doy_1.tif", data)
+    return tiff.scenes_binary(spark, to).select("r", "c", "value")
+
+
 @query(f"SELECT a.r, a.c, CASE WHEN s.range IS NULL OR q.range IS NULL OR (s.range * 31 + q.range * 17) % 97 = 0 THEN NULL ELSE CAST((s.range * 5 + q.range * 3) % 7 AS DOUBLE) END AS value FROM {AT} a LEFT JOIN range(33) s ON s.range = floor(a.y) LEFT JOIN range(30) q ON q.range = floor(a.x)")
 def prior_reprojected(spark: SparkSession, d: str) -> DataFrame:
     """A coarser raster of another origin under each pixel; null in its holes."""

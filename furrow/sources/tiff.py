@@ -294,35 +294,79 @@ def tiff_bytes(a: np.ndarray, transform: tuple[float, ...] = (1.0, 0.0, 0.0, 0.0
     kind = {"u": 1, "i": 2, "f": 3}[a.dtype.kind]
     a = a.astype(a.dtype.newbyteorder("<"))
     strips = [zlib.compress(a[b, i : i + rows].tobytes()) for b in range(n) for i in range(0, h, rows)]
-    tags: list[tuple[int, int, tuple]] = [
+    tags = [
         (256, 4, (w,)), (257, 4, (h,)), (258, 3, (a.dtype.itemsize * 8,) * n), (259, 3, (8,)), (262, 3, (1,)), (273, 4, (0,) * len(strips)), (277, 3, (n,)), (278, 4, (rows,)),
-        (279, 4, tuple(map(len, strips))), (284, 3, (2,)), (339, 3, (kind,) * n), (33550, 12, (transform[0], -transform[4], 0.0)), (33922, 12, (0.0, 0.0, 0.0, transform[2], transform[5], 0.0)),
+        (279, 4, tuple(map(len, strips))), (284, 3, (2,)), (339, 3, (kind,) * n), *_place_tags(transform, epsg, nodata),
     ]
+    begins = 8 + len(_directory(tags, 8)) + np.concatenate([[0], np.cumsum([len(s) for s in strips])[:-1]])
+    tags = [(t, k, tuple(map(int, begins)) if t == 273 else v) for t, k, v in tags]
+    return struct.pack("<2sHI", b"II", 42, 8) + _directory(tags, 8) + b"".join(strips)
+
+
+def _place_tags(transform: tuple[float, ...], epsg: int | None, nodata: float | None) -> list[tuple[int, int, tuple]]:
+    """Tags for where a raster lies and what stands for no value."""
+    out: list[tuple[int, int, tuple]] = [(33550, 12, (transform[0], -transform[4], 0.0)), (33922, 12, (0.0, 0.0, 0.0, transform[2], transform[5], 0.0))]
     if epsg:
         projected = 32600 < epsg < 32800
-        tags.append((34735, 3, (1, 1, 0, 2, 1024, 0, 1, 1 if projected else 2, 3072 if projected else 2048, 0, 1, epsg)))
+        out.append((34735, 3, (1, 1, 0, 2, 1024, 0, 1, 1 if projected else 2, 3072 if projected else 2048, 0, 1, epsg)))
     if nodata is not None:
-        tags.append((42113, 2, (f"{nodata:g}\0".encode(),)))
-    size = lambda k, v: len(v[0]) if k == 2 else struct.calcsize("<" + _kinds[k] * len(v))
-    at = 8 + 2 + 12 * len(tags) + 4
-    places = {}
-    for tag, k, v in tags:
-        if size(k, v) > 4:
-            places[tag] = at
-            at += size(k, v) + size(k, v) % 2
-    begins = tuple(int(x) for x in at + np.concatenate([[0], np.cumsum([len(s) for s in strips])[:-1]]))
-    tags = [(t, k, begins if t == 273 else v) for t, k, v in tags]
-    body = lambda k, v: v[0] if k == 2 else struct.pack("<" + _kinds[k] * len(v), *v)
-    out = bytearray(struct.pack("<2sHIH", b"II", 42, 8, len(tags)))
-    for t, k, v in tags:
-        raw = body(k, v)
-        out += struct.pack("<HHI", t, k, len(v[0]) if k == 2 else len(v)) + (struct.pack("<I", places[t]) if t in places else raw.ljust(4, b"\0"))
-    out += struct.pack("<I", 0)
-    for t, k, v in tags:
-        if t in places:
-            raw = body(k, v)
-            out += raw + b"\0" * (len(raw) % 2)
-    return bytes(out) + b"".join(strips)
+        out.append((42113, 2, (f"{nodata:g}\0".encode(),)))
+    return out
+
+
+def _directory(tags: list[tuple[int, int, tuple]], at: int, following: int = 0) -> bytes:
+    """An image's directory that begins at byte `at` of the file, with the values that do not fit into its entries behind it."""
+    end = at + 2 + 12 * len(tags) + 4
+    entries, values = struct.pack("<H", len(tags)), b""
+    for tag, kind, v in tags:
+        raw = v[0] if kind == 2 else struct.pack("<" + _kinds[kind] * len(v), *v)
+        entries += struct.pack("<HHI", tag, kind, len(raw) if kind == 2 else len(v))
+        if len(raw) > 4:
+            entries += struct.pack("<I", end + len(values))
+            values += raw + b"\0" * (len(raw) % 2)
+        else:
+            entries += raw.ljust(4, b"\0")
+    return entries + struct.pack("<I", following) + values
+
+
+def write_pyramid(tiles: DataFrame, path: str, height: int, width: int, transform: tuple[float, ...], epsg: int | None = None, block_size: int = 1024) -> None:
+    """class_tiles() of one size as a single tiled, deflated TIFF with its overviews; 255 is no value.
+
+    Tiles come to the driver one partition at a time and go straight into the file. A file of 4 GB or more is an error: keep the table.
+    """
+    found: dict[int, dict[tuple[int, int], tuple[int, int]]] = {}
+
+    def block(a: np.ndarray) -> tuple[int, int]:
+        raw, at = zlib.compress(a.tobytes()), f.tell()
+        if at + len(raw) >= 1 << 32:
+            raise ValueError("the map is too large for one TIFF file; keep its table of tiles")
+        f.write(raw)
+        return at, len(raw)
+
+    with open(path, "wb") as f:
+        f.write(struct.pack("<2sHI", b"II", 42, 0))
+        void = block(np.full((block_size, block_size), 255, np.uint8))  # shared by all places without a pixel
+        for t in tiles.orderBy("level", "tile_r", "tile_c").toLocalIterator():
+            a = np.full((block_size, block_size), 255, np.uint8)
+            y, x = t["r0"] - t["tile_r"] * block_size, t["c0"] - t["tile_c"] * block_size
+            a[y : y + t["height"], x : x + t["width"]] = np.frombuffer(zlib.decompress(t["body"]), np.uint8).reshape(t["height"], t["width"])
+            found.setdefault(t["level"], {})[t["tile_r"], t["tile_c"]] = block(a)
+        images = []
+        for k in sorted(found.keys() | {1}):
+            h, w = -(-height // k), -(-width // k)
+            places = [found.get(k, {}).get((i, j), void) for i in range(-(-h // block_size)) for j in range(-(-w // block_size))]
+            images.append([
+                (254, 4, (int(k > 1),)), (256, 4, (w,)), (257, 4, (h,)), (258, 3, (8,)), (259, 3, (8,)), (262, 3, (1,)), (277, 3, (1,)), (284, 3, (1,)), (322, 3, (block_size,)), (323, 3, (block_size,)),
+                (324, 4, tuple(p[0] for p in places)), (325, 4, tuple(p[1] for p in places)), (339, 3, (1,)), *_place_tags((transform[0] * k, 0.0, transform[2], 0.0, transform[4] * k, transform[5]), epsg, 255),
+            ])
+        at = first = f.tell() + f.tell() % 2
+        f.seek(at)
+        for i, tags in enumerate(images):
+            after = at + len(_directory(tags, at))
+            f.write(_directory(tags, at, after if i + 1 < len(images) else 0))
+            at = after
+        f.seek(4)
+        f.write(struct.pack("<I", first))
 
 
 CATALOG = "scene string, doy int, bands int, height long, width long, multispectral boolean, step double, x0 double, y0 double, epsg int, nodata double"
@@ -352,17 +396,18 @@ def banded(tiles: DataFrame) -> DataFrame:
 
 
 def channels(tiles: DataFrame) -> DataFrame:
-    """(r, c, days, ndvi, lswi, gcvi, cv): index series of each pixel of six-band scenes, dates in order; cv: of the bands' values.
+    """(r, c, days, ndvi, lswi, gcvi, cv): index series of each pixel of six-band scenes, dates in order.
 
-    Bands: 1 blue, 2 green, 3 red, 4 near infrared, 5 short-wave infrared; water takes fixed index values.
+    Bands: 1 blue, 2 green, 3 red, 4 near infrared, 5 short-wave infrared; water takes fixed values of the first three. cv is the
+    texture of band 4 in the 11 x 11 pixels around, a missing one counted as 0; scenes must have more than five rows and columns.
     """
+    from furrow import session
     from furrow.functions import spectral
+    from furrow.operators import raster
 
-    bands = [F.col(f"b{b}") for b in range(1, 6)]
-    mean = sum(bands[1:], bands[0]) / 5
-    spread = F.sqrt(F.greatest(F.lit(0.0), sum((x * x for x in bands[1:]), bands[0] * bands[0]) / 5 - mean * mean))
-    one = spectral.with_indices(banded(tiles)).withColumn("cv", F.when(mean > 0, spread / mean).otherwise(0.0))
-    s = F.sort_array(F.collect_list(F.struct("doy", "ndvi", "lswi", "gcvi", "cv")))
+    bands = session.written(banded(tiles), "bands")
+    one = raster.texture(spectral.with_indices(bands), "b4", 11, ["doy"])
+    s = F.sort_array(F.collect_list(F.struct("doy", "ndvi", "lswi", "gcvi", F.col("texture").alias("cv"))))
     return one.groupBy("r", "c").agg(s.alias("s")).select("r", "c", F.col("s.doy").alias("days"), "s.ndvi", "s.lswi", "s.gcvi", "s.cv")
 
 
