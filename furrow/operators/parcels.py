@@ -64,10 +64,10 @@ def superpixel_majority(df: DataFrame, segment: str = "segment", crop: str = "cr
     return df.join(part, segment).withColumn("kept", F.col("_share") > share).drop("_share")
 
 
-def clean_mask(grid: DataFrame, resolution: float = 10.0, connectivity: int = 8, erode: bool = True, edge: str | None = None, fill: bool = True, code: str = "code") -> DataFrame:
-    """Crop pixels without class borders and physical edges, opened, small holes filled: adds mask."""
+def clean_mask(grid: DataFrame, resolution: float = 10.0, connectivity: int = 8, erode: bool = True, edge: str | None = None, fill: bool = True, code: str = "code", crop: str | None = None) -> DataFrame:
+    """Crop pixels (by a flag, else by code) without class borders and physical edges, opened, small holes filled: adds mask."""
     physical = F.coalesce(F.col(edge), F.lit(False)) if edge else F.lit(False)
-    cut = grid.withColumn("_border", raster.on_class_border(code)).withColumn("_on", (F.col(code) > 0) & ~F.col("_border") & ~physical).drop("_border")
+    cut = grid.withColumn("_border", raster.on_class_border(code)).withColumn("_on", (F.col(crop) if crop else F.col(code) > 0) & ~F.col("_border") & ~physical).drop("_border")
     side, cross = raster.opening_size(resolution, connectivity, edge is not None) if erode else (1, False)
     opened = raster.opening(cut, "_on", side, cross)
     return fill_holes(opened, "opened").withColumn("mask", F.col("filled")).drop("_on", "opened", "filled") if fill else opened.withColumn("mask", F.col("opened")).drop("_on", "opened")
@@ -202,9 +202,9 @@ def bounding_boxes(pixels: DataFrame, key: str = "comp") -> DataFrame:
     return pixels.groupBy(key).agg(F.min("r").alias("r0"), F.max("r").alias("r1"), F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("pixels"))
 
 
-def segment(grid: DataFrame, resolution: float = 10.0, min_area: float = 200.0, max_area: float = 500_000.0, most: int = 500, connectivity: int = 8, erode: bool = True, subdivided: bool = True, discard: bool = False, edge: str | None = None, fill: bool = True) -> tuple[DataFrame, DataFrame]:
+def segment(grid: DataFrame, resolution: float = 10.0, min_area: float = 200.0, max_area: float = 500_000.0, most: int = 500, connectivity: int = 8, erode: bool = True, subdivided: bool = True, discard: bool = False, edge: str | None = None, fill: bool = True, crop: str | None = None) -> tuple[DataFrame, DataFrame]:
     """grid (r, c, code, conf) -> (pixels with parcel_no, parcels with all attributes)."""
-    mask = clean_mask(grid, resolution, connectivity, erode, edge, fill)
+    mask = clean_mask(grid, resolution, connectivity, erode, edge, fill, crop=crop)
     labelled = label(mask.where("mask"), connectivity)
     parts = subdivide(labelled, max_area, resolution) if subdivided else labelled.withColumn("part", F.lit(1).cast("long"))
     sizes = parts.groupBy("comp", "part").agg(F.count("*").alias("pixels"))

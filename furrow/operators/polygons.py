@@ -145,15 +145,21 @@ def to_wgs84(ring: Column, zone: int, northern: bool = True) -> Column:
     return F.transform(ring, one)
 
 
-def attributes(parcels: DataFrame, outlines: DataFrame, legend: DataFrame, x0: float = 500000.0, y0: float = 4200000.0, step: float = 10.0, zone: int = 50, northern: bool = True) -> DataFrame:
-    """Parcels with their 18 exported attributes, and the smoothed outline in degrees (lon, lat), counter-clockwise."""
+def attributes(parcels: DataFrame, outlines: DataFrame, legend: DataFrame, x0: float = 500000.0, y0: float = 4200000.0, step: float = 10.0, zone: int = 50, northern: bool = True, degrees: float | None = None) -> DataFrame:
+    """Parcels with their 18 exported attributes, and the smoothed outline in degrees (lon, lat), counter-clockwise.
+
+    step: the pixel's size in metres. degrees: its size on a map in degrees, whose origin then is (lon, lat); else the map is in UTM.
+    """
     joined = parcels.join(outlines.select("parcel_no", "ring"), "parcel_no").join(F.broadcast(legend), F.col("crop_code") == F.col("code"), "left")
     smooth = joined.withColumn("smooth", chaikin(F.col("ring")))
     metres = F.round(perimeter(F.col("smooth"), step), 1)
-    centre = geo.utm_to_wgs84(F.lit(x0) + F.col("centroid_col") * step, F.lit(y0) - F.col("centroid_row") * step, F.lit(zone), F.lit(northern))
+    on_map = F.lit(x0) + F.col("centroid_col") * (degrees or step), F.lit(y0) - F.col("centroid_row") * (degrees or step)
+    centre = F.struct(on_map[0].alias("lon"), on_map[1].alias("lat")) if degrees else geo.utm_to_wgs84(*on_map, F.lit(zone), F.lit(northern))
     placed = smooth.withColumn("perimeter_m", metres).withColumn("_g", centre).withColumn("center_lon", F.round("_g.lon", 6)).withColumn("center_lat", F.round("_g.lat", 6))
     placed = placed.withColumn("compactness", grading.exported_compactness(F.col("area_m2"), F.col("perimeter_m"))).withColumn("_z", zoning.zone(F.col("center_lon"), F.col("center_lat")))
-    coordinates = counter_clockwise(to_wgs84(to_map(F.col("smooth"), x0, y0, step), zone, northern))
+    mapped = to_map(F.col("smooth"), x0, y0, degrees or step)
+    rounded = lambda p: F.struct(F.round(p["x"], 6).alias("x"), F.round(p["y"], 6).alias("y"))
+    coordinates = counter_clockwise(F.transform(mapped, rounded) if degrees else to_wgs84(mapped, zone, northern))
     return placed.select(
         "parcel_id", "parcel_no", "crop_code", F.coalesce("name", F.concat(F.lit("作物_"), F.col("crop_code").cast("string"))).alias("crop_name"), "pixels", "area_m2", "area_mu", "area_ha",
         "perimeter_m", "compactness", "purity", "confidence", "center_lon", "center_lat", F.col("_z.province").alias("province"), F.col("_z.zone").alias("agri_zone"),

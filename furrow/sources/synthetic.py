@@ -105,6 +105,11 @@ def training_points(spark: SparkSession, legend: dict[int, str], per_class: int
     return full.select(F.format_string("TR_%d_%04d", "label", "k").alias("point_id"), "label", "crop_name", *(F.round(F.get("v", F.lit(i)), 4).alias(f"doy_{d}") for i, d in enumerate(DAYS)))
 
 
+def short_season(days: list[int]) -> bool:
+    """One date, a span of up to 15 days, or all days up to 60."""
+    return len(days) <= 1 or max(days) - min(days) <= 15 or max(days) <= 60
+
+
 def snapshot_align(df: DataFrame, values: Column, days: list[int], n_classes: int, target: int, seed: int = 42, key: str = "point_id") -> Column:
     """A series for scenes of one short season (span up to 15 days, or all days up to 60, or one date); other scenes and series
     that fit already keep their values.
@@ -112,8 +117,7 @@ def snapshot_align(df: DataFrame, values: Column, days: list[int], n_classes: in
     Up to three classes: background keeps the mean of its first three values, crops their greatest (winter-green 0.45-0.70 where
     it is under 0.40), repeated with a little noise. More classes: the value of the day nearest the scene's middle, repeated.
     """
-    short = len(days) <= 1 or max(days) - min(days) <= 15 or max(days) <= 60
-    if not short:
+    if not short_season(days):
         return values
     s = F.lit(seed)
     if n_classes <= 3:

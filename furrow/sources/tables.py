@@ -24,8 +24,8 @@ DEFAULTS = {
     "classification": {"model_type": "random_forest", "n_estimators": 100, "max_depth": 12, "random_state": 42},
     "time_series": {"apply_temporal_smoothing": False},
     "unbiased_estimation": {"n_bootstrap": 2000, "confidence_level": 0.95},
-    "prior_fusion": {"enable": False, "provider": "clcd", "weight": 0.5, "hard_veto": True, "threshold": 0.40},
-    "terrain": {"enable": False, "max_elevation_m": 1800.0, "max_slope_deg": 25.0},
+    "prior_fusion": {"enable": False, "provider": "clcd", "path": None, "weight": 0.5, "hard_veto": True, "threshold": 0.40, "mined_samples": 0},
+    "terrain": {"enable": False, "path": None, "max_elevation_m": 1800.0, "max_slope_deg": 25.0},
     "streaming": {"block_size": 1024},
 }
 
