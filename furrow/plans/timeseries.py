@@ -183,7 +183,7 @@ WIDE = S + ", w AS (SELECT user_id, k.range AS k, list_transform(v, lambda x: CA
 def _wide(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("k")
     s = X.series(spark, d).withColumn("k", F.explode(F.array(*(F.lit(i).cast("long") for i in range(4)))))
-    return s.withColumn("v", F.transform("v", lambda x: (x - 0.25) * (1 + k) + 0.1 * k))
+    return s.withColumn("v", F.transform("v", lambda x: (x - 0.25) * (1 + k) + k / 10))  # 0.1 * k is decimal in SQL: 0.3, not 0.30000000000000004
 
 
 @query(WIDE + f" SELECT user_id, k, CAST({PRIOR_SQL} AS DOUBLE) AS prior FROM w")
