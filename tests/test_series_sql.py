@@ -50,3 +50,18 @@ def test_shifted_series_on_thresholds(spark, tmp_path, name):
     ours, theirs = both(spark, tmp_path, name)
     assert len(ours) == 11 * 60 * 4
     assert ours == theirs
+
+
+@pytest.mark.parametrize("name", ["cloud_spike_repair"])
+def test_sums_do_not_depend_on_how_events_are_dealt(spark, tmp_path, name):
+    """Means lie on a threshold, and a bin's events in all files: any other order of adding moves some to the other side."""
+    draw = random.Random(9)
+
+    def five(total):
+        xs = [draw.randint(0, 9_999) for _ in range(4)]
+        return [x / 100 for x in (*xs, total - sum(xs))]
+
+    write_events(tmp_path, [[five(60_000 if t % 2 == 0 else 60_000 - 18_000) for t in range(8)] for _ in range(400)], 5)
+    ours, theirs = both(spark, tmp_path, name)
+    assert len(ours) == 400
+    assert ours == theirs
