@@ -43,7 +43,7 @@ def both(spark, folder, name):
 ON_THRESHOLDS = [27.5, 35.0, 39.0, 46.0, 51.0, 52.5, 54.0, 55.0, 56.0, 57.5, 60.0, 62.5, 67.5, 69.0, 70.0, 76.0]
 
 
-@pytest.mark.parametrize("name", ["builtin_prior", "builtin_prior_lswi", "pseudo_labels"])
+@pytest.mark.parametrize("name", ["builtin_prior", "builtin_prior_lswi", "pseudo_labels", "score_rules"])
 def test_shifted_series_on_thresholds(spark, tmp_path, name):
     draw = random.Random(5)
     write_events(tmp_path, [[[draw.choice(ON_THRESHOLDS[a : a + 6])] for _ in range(8)] for a in range(11) for _ in range(60)])
