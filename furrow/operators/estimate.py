@@ -5,18 +5,22 @@ Pixels and samples are aggregated once, with partial aggregation; what follows h
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from furrow.functions import grading, units
+from furrow.functions import grading, md5, units
 
 # Fixed values.
 Z95 = 1.96
 MACRO_BACKGROUND, RARE_CLASS, CAP_SHARE = 0.70, 0.05, 0.35
 PRIOR_UA = {0: 0.92, 1: 0.88, 2: 0.94, 3: 0.85, 4: 0.90}
 DEFAULT_UA = 0.85
+DRAW_TASKS = 200  #: tasks that the resamples of a bootstrap are dealt to, at most
 DEFAULT_LEGEND = {0: "背景/非农田", 1: "玉米", 2: "小麦", 3: "大豆", 4: "水稻"}
 
 
@@ -143,26 +147,46 @@ def error_matrix_table(p: DataFrame, codes: list[int]) -> DataFrame:
     return rows.unionByName(footer)
 
 
-def draw_index(b: Column, j: Column, n: Column) -> Column:
-    """Which of n rows draw j of resample b takes: the first 32 bits of an MD5, the same on any engine."""
-    return F.conv(F.substring(F.md5(F.concat(b.cast("string"), F.lit(":"), j.cast("string"))), 1, 8), 16, 10).cast("bigint") % n
+def _kinds(sample: DataFrame, codes: list[int]) -> DataFrame:
+    """One row: the sample's class pairs and weights in their order, i, j, w and hi (rows up to and with each) as arrays."""
+    w = F.col("weight") if "weight" in sample.columns else F.lit(1.0)
+    kinds = sample.where(F.col("map_label").isin(codes) & F.col("true_label").isin(codes)).groupBy(F.col("map_label").cast("int").alias("i"), F.col("true_label").cast("int").alias("j"), w.cast("double").alias("w")).agg(F.count("*").alias("c"))
+    listed = kinds.agg(F.sort_array(F.collect_list(F.struct("i", "j", "w", "c"))).alias("x"))
+    return listed.select(*(F.col(f"x.{c}").alias(c) for c in ("i", "j", "w", "c")))
+
+
+def _draw(draws: int, parts: int):
+    """Of each part (every parts-th resample) the weight in each class pair."""
+
+    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            for part, i, j, w, c in zip(*(t[x].to_pylist() for x in ("part", "i", "j", "w", "c")), strict=True):
+                i, j = np.asarray(i, np.int32), np.asarray(j, np.int32)
+                hi = np.cumsum(np.asarray(c, np.int64))
+                resamples = list(range(part, draws, parts))
+                counts = np.zeros((len(resamples), len(hi)), np.int64)
+                for at, x in md5.leading(resamples, int(hi[-1]) if len(hi) else 0):
+                    counts[at] += np.bincount(np.searchsorted(hi, x.astype(np.int64) % hi[-1], "right"), minlength=len(hi))
+                weight = counts * np.asarray([0.0 if x is None else x for x in w])
+                pairs, pair_of = np.unique(np.stack([i, j], 1), axis=0, return_inverse=True)
+                for b, row in zip(resamples, weight, strict=True):
+                    n = np.bincount(pair_of.ravel(), row, len(pairs))
+                    yield pa.RecordBatch.from_pydict({"b": pa.array(np.full(len(pairs), b), pa.int64()), "i": pa.array(pairs[:, 0], pa.int32()), "j": pa.array(pairs[:, 1], pa.int32()), "n": pa.array(n, pa.float64())})
+
+    return drawn
 
 
 def bootstrap(sample: DataFrame, weights: DataFrame, codes: list[int], draws: int = 200, protect: bool = True, order: tuple[str, ...] = ("map_label", "true_label")) -> DataFrame:
     """b, code, share: calibrated share of each class in each resample of the sample.
 
-    The sample is a survey's (thousands of rows); each resample is drawn by index, dealt by b, and reduced to counts at once.
-    Equal rows are exchangeable, so rows are numbered by class pair and drawn from running counts, not from the rows.
+    Each resample is as large as the sample. Draw j of resample b takes the row that the first 32 bits of the MD5 of "b:j", mod the
+    rows, name in the order of classes: the same on any engine. Equal rows are exchangeable, so rows are numbered by class pair and weight and drawn from running counts; a task draws whole resamples and gives
+    back a row for each class pair.
     """
-    w = F.col("weight") if "weight" in sample.columns else F.lit(1.0)
-    kinds = sample.where(F.col("map_label").isin(codes) & F.col("true_label").isin(codes)).groupBy(F.col("map_label").cast("int").alias("i"), F.col("true_label").cast("int").alias("j"), w.alias("w")).agg(F.count("*").alias("c"))
-    order_by = Window.orderBy("i", "j", "w")  # a row for each pair of classes and weight
-    ranges = kinds.withColumn("hi", F.sum("c").over(order_by)).withColumn("lo", F.col("hi") - F.col("c"))
-    n = kinds.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"))
     spark = sample.sparkSession
-    drawn = spark.range(draws).select(F.col("id").alias("b")).repartition("b").crossJoin(F.broadcast(n)).where("n > 0").select("b", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("d"))
-    hits = drawn.select("b", draw_index(F.col("b"), F.col("d"), F.col("n")).alias("x")).groupBy("b", "x").agg(F.count("*").alias("k"))
-    cells = hits.join(F.broadcast(ranges), (F.col("x") >= F.col("lo")) & (F.col("x") < F.col("hi"))).groupBy("b", "i", "j").agg(F.sum(F.col("k") * F.col("w")).alias("n"))
+    parts = max(1, min(draws, DRAW_TASKS))
+    dealt = spark.range(0, parts, 1, parts).select(F.col("id").alias("part"))  # without a shuffle, whose small rows would become one task
+    cells = dealt.crossJoin(F.broadcast(_kinds(sample, codes))).mapInArrow(_draw(draws, parts), "b long, i int, j int, n double")  # one row
     shape = spark.range(draws).select(F.col("id").alias("b")).crossJoin(F.broadcast(_all(codes=codes, spark=spark, names=("i", "j"))))
     full = shape.join(cells, ["b", "i", "j"], "left").select("b", "i", "j", F.coalesce("n", F.lit(0.0)).alias("n"))
     cond = conditional_matrix(full, ("b",))

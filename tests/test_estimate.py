@@ -71,3 +71,45 @@ def test_transition_marginals_and_compliance(spark):
     assert by == {r.code: r["count"] for r in e.groupBy("code").count().collect()}
     kinds = [r.kind for r in transition.compliance(m, {0: "b", 1: "玉米"}, soy_codes=()).collect()]
     assert not any("粮豆" in k for k in kinds) and any("撂荒" in k for k in kinds)
+
+
+def test_md5_of_many_texts():
+    import hashlib
+
+    import numpy as np
+
+    from furrow.functions import md5
+
+    numbers, found = [0, 7, 10, 1999, 123_456_789_012], {}
+    for at, x in md5.leading(numbers, 20_000):
+        found.setdefault(at, []).append(x)
+    for at, b in enumerate(numbers):
+        assert np.concatenate(found[at]).tolist() == [int(hashlib.md5(f"{b}:{j}".encode()).hexdigest()[:8], 16) for j in range(20_000)]
+
+
+def test_bootstrap_makes_no_row_for_a_draw(spark):
+    """Rows of all draws, once exploded, shuffled and grouped, took the bootstrap over its time; the draws are those of the MD5."""
+    import hashlib
+    from collections import Counter
+
+    rows = [(i, j, w) for i in (0, 1, 2) for j in (0, 1, 2) for w in (0.5, 2.0) for _ in range(3 + 5 * (i == j))]
+    sample = spark.createDataFrame(rows[::-1], "map_label int, true_label int, weight double")
+    weights = spark.createDataFrame([(0, 50, 0.5, 100), (1, 30, 0.3, 100), (2, 20, 0.2, 100)], "code int, pixels long, weight double, total long")
+    shares = estimate.bootstrap(sample, weights, [0, 1, 2], 12, protect=False)
+    assert "Generate explode(sequence" not in shares._jdf.queryExecution().toString()
+    found = {(r.b, r.code): r.share for r in shares.collect()}
+    for b in range(12):
+        n = Counter()
+        for j in range(len(rows)):
+            i, t, w = rows[int(hashlib.md5(f"{b}:{j}".encode()).hexdigest()[:8], 16) % len(rows)]
+            n[i, t] += w
+        for code in (0, 1, 2):
+            expected = sum(share * (n[i, code] / sum(n[i, t] for t in (0, 1, 2))) for i, share in ((0, 0.5), (1, 0.3), (2, 0.2)))
+            assert abs(found[b, code] - expected) < 1e-12
+    assert len(found) == 36
+
+
+def test_bootstrap_of_an_empty_sample(spark):
+    sample = spark.createDataFrame([], "map_label int, true_label int, weight double")
+    weights = spark.createDataFrame([(0, 50, 0.5, 100), (1, 50, 0.5, 100)], "code int, pixels long, weight double, total long")
+    assert {r.code: r.share for r in estimate.bootstrap(sample, weights, [0, 1], 1).collect()} == {0: 0.5, 1: 0.5}
