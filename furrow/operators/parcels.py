@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from furrow import session
 from furrow.functions import grading, units
 from furrow.operators import raster
 from furrow.operators.components import components
@@ -170,21 +171,37 @@ def subdivide(labelled: DataFrame, max_area: float, resolution: float = 10.0) ->
     return kept.unionByName(parts)
 
 
-def filter_rank(sizes: DataFrame, resolution: float = 10.0, min_area: float = 200.0, max_area: float | None = None, most: int = 500, keys: tuple[str, ...] = ("comp",)) -> DataFrame:
-    """Components in the area range (all, if none is), largest first, at most `most`: adds parcel_no from 1."""
+def numbered(df: DataFrame, *order: Column | str) -> DataFrame:
+    """Adds parcel_no from 1 in a total order of all rows: tasks sort ranges, and each counts on from those before it."""
+    placed = session.written(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "ranks").withColumn("_task", F.shiftright("_at", 33))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    begins = placed.groupBy("_task").agg(F.count("*").alias("_n")).select("_task", before.alias("_before"))  # a row a task
+    number = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return placed.join(F.broadcast(begins), "_task").withColumn("parcel_no", number.cast("int")).drop("_at", "_task", "_before")
+
+
+def filter_rank(sizes: DataFrame, resolution: float = 10.0, min_area: float = 200.0, max_area: float | None = None, most: int | None = 500, keys: tuple[str, ...] = ("comp",)) -> DataFrame:
+    """Components in the area range (all, if none is), largest first, at most `most` (None: every one): adds parcel_no from 1."""
     area = F.col("pixels") * F.lit(resolution * resolution)
     fits = area >= max(min_area, 2 * resolution * resolution)
     if max_area is not None:
         fits = fits & (area <= max_area)
     any_fits = sizes.agg(F.max(fits).alias("_any"))
     kept = sizes.withColumn("_fits", fits).crossJoin(F.broadcast(any_fits)).where("_fits OR NOT _any").drop("_fits", "_any")
+    if most is None:
+        return numbered(kept, F.desc("pixels"), *keys)
     top = kept.orderBy(F.desc("pixels"), *keys).limit(most)  # bounded before the ranking window
     return top.withColumn("parcel_no", F.row_number().over(Window.orderBy(F.desc("pixels"), *keys)))
 
 
 def zonal_stats(pixels: DataFrame, resolution: float = 10.0, key: str = "comp", code: str = "code", conf: str = "conf") -> DataFrame:
-    """One row a zone: size, areas, dominant crop, its share, mean confidence, centre. Ties go to the smaller code."""
-    cells = pixels.groupBy(key, code).agg(F.count("*").alias("n"), F.sum(conf).alias("s"), F.sum("r").alias("rs"), F.sum("c").alias("cs"))
+    """One row a zone: size, areas, dominant crop, its share, mean confidence, centre. Ties go to the smaller code.
+
+    Confidences are added in scan order: in any other the last bit differs, and with it how a mean on a half is rounded.
+    """
+    so_far = Window.partitionBy(key, code).orderBy("r", "c").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # streams, and spills
+    added = pixels.select(key, code, "r", "c", F.count("*").over(so_far).alias("n"), F.sum(conf).over(so_far).alias("s"))
+    cells = added.groupBy(key, code).agg(F.max("n").alias("n"), F.max_by("s", "n").alias("s"), F.sum("r").alias("rs"), F.sum("c").alias("cs"))
     crop = F.col(code) > 0
     by = cells.groupBy(key).agg(
         F.sum("n").alias("pixels"), F.max_by(F.when(crop, F.col(code)), F.when(crop, F.struct("n", -F.col(code)))).alias("top"), F.max(F.when(crop, F.col("n"))).alias("top_n"),
@@ -202,13 +219,13 @@ def bounding_boxes(pixels: DataFrame, key: str = "comp") -> DataFrame:
     return pixels.groupBy(key).agg(F.min("r").alias("r0"), F.max("r").alias("r1"), F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("pixels"))
 
 
-def segment(grid: DataFrame, resolution: float = 10.0, min_area: float = 200.0, max_area: float = 500_000.0, most: int = 500, connectivity: int = 8, erode: bool = True, subdivided: bool = True, discard: bool = False, edge: str | None = None, fill: bool = True, crop: str | None = None) -> tuple[DataFrame, DataFrame]:
+def segment(grid: DataFrame, resolution: float = 10.0, min_area: float = 200.0, max_area: float = 500_000.0, most: int | None = 500, connectivity: int = 8, erode: bool = True, subdivided: bool = True, discard: bool = False, edge: str | None = None, fill: bool = True, crop: str | None = None) -> tuple[DataFrame, DataFrame]:
     """grid (r, c, code, conf) -> (pixels with parcel_no, parcels with all attributes)."""
     mask = clean_mask(grid, resolution, connectivity, erode, edge, fill, crop=crop)
     labelled = label(mask.where("mask"), connectivity)
     parts = subdivide(labelled, max_area, resolution) if subdivided else labelled.withColumn("part", F.lit(1).cast("long"))
     sizes = parts.groupBy("comp", "part").agg(F.count("*").alias("pixels"))
     ranked = filter_rank(sizes, resolution, min_area, max_area if discard else None, most, ("comp", "part")).select("comp", "part", "parcel_no")
-    pixels = parts.join(F.broadcast(ranked), ["comp", "part"]).join(grid.select("r", "c", "code", "conf"), ["r", "c"])  # at most `most` rows
+    pixels = parts.join(ranked if most is None else F.broadcast(ranked), ["comp", "part"]).join(grid.select("r", "c", "code", "conf"), ["r", "c"])  # broadcast: at most `most` rows
     stats = zonal_stats(pixels, resolution, "parcel_no").withColumn("parcel_id", grading.parcel_name(F.col("parcel_no")))
     return pixels.select("r", "c", "parcel_no", "code", "conf"), stats

@@ -236,7 +236,7 @@ def perimeter_area(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _segmented(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return parcels.segment(X.grid(spark, d), 10.0, 200.0, 500_000.0, 1000)
+    return parcels.segment(X.grid(spark, d), 10.0, 200.0, 500_000.0, None)
 
 
 @query(G + f", p AS ({ZONAL}), n AS (SELECT *, CAST(row_number() OVER (ORDER BY pixels DESC, r0, c0) AS INT) AS parcel_no FROM p) SELECT 'P' || lpad(CAST(parcel_no AS VARCHAR), 4, '0') AS parcel_id, pixels, area_mu, crop_code, confidence, centroid_row, centroid_col FROM n WHERE least(pixels, 999) >= 2".replace("least(pixels, 999) >= 2", "pixels >= 2"))
