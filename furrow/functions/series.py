@@ -20,7 +20,9 @@ def total(v: Column) -> Column:
 
 
 def mean(v: Column) -> Column:
-    return F.when(F.size(v) > 0, total(v) / F.size(v)).otherwise(Z())
+    """Mean of the values that are not null; 0 for an empty series, null where all are null."""
+    known = F.filter(v, lambda x: x.isNotNull())
+    return F.when(F.size(v) > 0, F.try_divide(total(known), F.size(known))).otherwise(Z())
 
 
 def std(v: Column) -> Column:

@@ -65,3 +65,14 @@ def test_sums_do_not_depend_on_how_events_are_dealt(spark, tmp_path, name):
     ours, theirs = both(spark, tmp_path, name)
     assert len(ours) == 400
     assert ours == theirs
+
+
+@pytest.mark.parametrize("name", ["builtin_prior", "builtin_prior_lswi", "pseudo_labels", "score_rules"])
+def test_series_with_null_values(spark, tmp_path, name):
+    """A bin whose values are all null is left out of a series' mean, as SQL leaves it out; series of nulls alone stay null."""
+    draw = random.Random(13)
+    bins = lambda: [[None if draw.random() < 0.2 else draw.uniform(60, 400), None] for _ in range(8)]
+    write_events(tmp_path, [bins() for _ in range(300)] + [[[None]] * 8])
+    ours, theirs = both(spark, tmp_path, name)
+    assert len(ours) == 301 * 4
+    assert ours == theirs
