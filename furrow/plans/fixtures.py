@@ -108,15 +108,16 @@ SERIES_SQL = f"SELECT user_id, list(v ORDER BY t) AS v FROM ({BINS_SQL}) GROUP B
 def series(spark: SparkSession, d: str) -> DataFrame:
     """user_id and v, for users with all eight bins.
 
-    A bin's values are added in the order of events, as SQL adds them in one thread: partial sums that meet in any order differ in the
-    last bit from run to run, and values on a threshold with them.
+    A bin's values are added in the order in which the files hold them, as SQL adds them in one thread: partial sums that meet in any
+    order differ in the last bit from run to run, and values on a threshold with them. A bin without a time comes last.
     """
     hours = F.timestamp_diff("HOUR", F.lit("2024-01-01 00:00:00").cast("timestamp"), F.col("ts"))
-    placed = table(spark, d, "events").select("user_id", F.floor(hours / 90.0).cast("int").alias("t"), "event_id", "value")
-    so_far = Window.partitionBy("user_id", "t").orderBy("event_id", "value").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # streams, and spills
+    place = F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    placed = table(spark, d, "events").select("user_id", F.floor(hours / 90.0).cast("int").alias("t"), *place, "value")
+    so_far = Window.partitionBy("user_id", "t").orderBy("file", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # streams, and spills
     added = placed.select("user_id", "t", F.count("*").over(so_far).alias("k"), F.count("value").over(so_far).alias("n"), F.sum("value").over(so_far).alias("s"))
     bins = added.groupBy("user_id", "t").agg(F.max_by(F.struct("s", "n"), "k").alias("x")).select("user_id", "t", (F.try_divide("x.s", "x.n") / 200).alias("v"))
-    whole = bins.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("t", "v"))).alias("s"))
+    whole = bins.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct(F.isnull("t"), "t", "v"))).alias("s"))
     return whole.where("size(s) = 8").select("user_id", F.transform("s", lambda x: x["v"]).alias("v"))
 
 

@@ -76,3 +76,36 @@ def test_series_with_null_values(spark, tmp_path, name):
     ours, theirs = both(spark, tmp_path, name)
     assert len(ours) == 301 * 4
     assert ours == theirs
+
+
+@pytest.mark.parametrize("name", ["builtin_prior_lswi", "pseudo_labels", "score_rules"])
+def test_sums_follow_the_files_where_events_are_not_numbered_in_order(spark, tmp_path, name):
+    """Means lie on thresholds, numbers run backwards in three files and repeat: SQL adds as the files hold the events."""
+    draw = random.Random(17)
+
+    def five(total):
+        xs = [draw.randint(0, 7_000) for _ in range(4)]
+        return [x / 100 for x in (*xs, total - sum(xs))]
+
+    mixed = [[five(draw.choice([25_000, 30_000, 35_000, 50_000, 60_000][a : a + 2])) for _ in range(8)] for a in range(4) for _ in range(200)]
+    one = [[five(b if t == 6 else a) for t in range(8)] for a, b in ((25_000, 60_000), (120_000, 70_000)) for _ in range(200)]  # one bin decides
+    write_events(tmp_path, mixed + one, 3)
+    for path in (tmp_path / "events.parquet").glob("*.parquet"):
+        t = pq.read_table(path)
+        pq.write_table(t.set_column(0, "event_id", pa.array([(t.num_rows - i) // 2 for i in range(t.num_rows)], pa.int64())), path)
+    ours, theirs = both(spark, tmp_path, name)
+    assert len(ours) == 1200 * 4
+    assert ours == theirs
+
+
+def test_bins_without_a_time_come_last(spark, tmp_path):
+    """As SQL's lists order them; a user has seven bins and one of events without a time."""
+    draw = random.Random(19)
+    write_events(tmp_path, [[[draw.uniform(40, 250)] for _ in range(8)] for _ in range(300)])
+    path = tmp_path / "events.parquet" / "part-00.parquet"
+    t = pq.read_table(path)
+    ts = [None if x.as_py() < 300 * 4 and x.as_py() % 8 == 3 else s for x, s in zip(t["event_id"], t["ts"].to_pylist())]
+    pq.write_table(t.set_column(1, "ts", pa.array(ts, pa.timestamp("us"))), path)
+    ours, theirs = both(spark, tmp_path, "pseudo_labels")
+    assert len(ours) == 300 * 4 and len({r[2:] for r in ours}) > 2
+    assert ours == theirs
