@@ -110,8 +110,9 @@ def series(spark: SparkSession, d: str) -> DataFrame:
 
     A bin's values are added in the order in which the files hold them, as SQL adds them in one thread: partial sums that meet in any
     order differ in the last bit from run to run, and values on a threshold with them. A bin without a time comes last.
+    Hours are counted by their beginnings, as SQL's date_diff does: before the origin a part of an hour goes down, not towards the origin.
     """
-    hours = F.timestamp_diff("HOUR", F.lit("2024-01-01 00:00:00").cast("timestamp"), F.col("ts"))
+    hours = F.timestamp_diff("HOUR", F.lit("2024-01-01 00:00:00").cast("timestamp"), F.date_trunc("HOUR", "ts"))
     place = F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
     placed = table(spark, d, "events").select("user_id", F.floor(hours / 90.0).cast("int").alias("t"), *place, "value")
     so_far = Window.partitionBy("user_id", "t").orderBy("file", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # streams, and spills

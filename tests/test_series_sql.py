@@ -109,3 +109,17 @@ def test_bins_without_a_time_come_last(spark, tmp_path):
     ours, theirs = both(spark, tmp_path, "pseudo_labels")
     assert len(ours) == 300 * 4 and len({r[2:] for r in ours}) > 2
     assert ours == theirs
+
+
+@pytest.mark.parametrize("name", ["builtin_prior_lswi", "pseudo_labels", "score_rules"])
+def test_events_just_before_the_origin(spark, tmp_path, name):
+    """Half an hour before the origin is a bin of its own: those users still have eight bins, that one first."""
+    draw = random.Random(23)
+    write_events(tmp_path, [[[draw.uniform(40, 250)] for _ in range(8)] for _ in range(300)])
+    path = tmp_path / "events.parquet" / "part-00.parquet"
+    t = pq.read_table(path)
+    ts = [START - 30 * 60_000_000 if i.as_py() % 16 == 7 else s.value for i, s in zip(t["event_id"], t["ts"])]
+    pq.write_table(t.set_column(1, "ts", pa.array(ts, pa.timestamp("us"))), path)
+    ours, theirs = both(spark, tmp_path, name)
+    assert len(ours) == 300 * 4
+    assert ours == theirs
