@@ -176,6 +176,20 @@ def same_bytes(data: np.ndarray, start: np.ndarray, other: np.ndarray, size: np.
     return True
 
 
+def equal_bytes(data: np.ndarray, start: np.ndarray, size: np.ndarray, others: np.ndarray, other: np.ndarray, other_size: np.ndarray) -> np.ndarray:
+    """Which runs of data equal those of others."""
+    same, view, theirs = size == other_size, eights(data), eights(others)
+    live, k = np.flatnonzero(same), 0
+    while len(live) and k < LONG:
+        left = size[live] - k
+        alike = ((view[start[live] + k] ^ theirs[other[live] + k]) & _FIRST[np.minimum(left, 8)]) == 0
+        same[live[~alike]] = False
+        live, k = live[alike & (left > 8)], k + 8
+    for i in live.tolist():
+        same[i] = data[start[i] : start[i] + size[i]].tobytes() == others[other[i] : other[i] + size[i]].tobytes()
+    return same
+
+
 def word_ids(data: np.ndarray, w: Words) -> tuple[np.ndarray, np.ndarray]:
     """A number for each word, equal where the bytes are equal and only there, and the first word of each number.
 

@@ -31,7 +31,9 @@ HEAD = struct.Struct("<4sBBxxIQ")
 SAMPLE = 256  #: ones between select samples
 SHARD_IDS = 1 << 21  #: ids after which a shard is closed
 SHARD = "part int, seq int, doc_ids array<bigint>, n_docs long, n_tokens long, body binary"
-HELD = 600_000  #: words whose ids a worker remembers
+HELD = 1_000_000  #: words whose ids a worker remembers
+HELD_BYTES = 1 << 24  #: their bytes and ids at most, before the newest
+JOINED = 64  #: words that are encoded as one text
 _ones = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
@@ -96,18 +98,34 @@ def unpack(body: bytes) -> tuple[EliasFano, np.ndarray]:
     return EliasFano(n + 1, l, lows, highs, samples), np.frombuffer(body, "<u2" if wide == 1 else "<u4", total, at + 4 * len(samples))
 
 
-def _byte_letters() -> dict[int, int]:
-    """The character that stands for each byte in a byte-level vocabulary: itself if printable, else one from 256 on."""
+def _byte_letters() -> np.ndarray:
+    """The character that stands for each byte in a byte-level vocabulary: itself if printable, else one from 256 on. In UTF-8, two bytes each from 128 on."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
     rest = [b for b in range(256) if b not in shown]
-    return {b: 256 + i for i, b in enumerate(rest) if b != 32}
+    places = {b: 256 + i for i, b in enumerate(rest)}
+    return np.array([list(chr(places.get(b, b)).encode()) for b in range(128, 256)], np.uint8)
+
+
+def _spelled(raw: bytes) -> str:
+    """Text whose ASCII bytes are letters and spaces, in the letters of a byte-level vocabulary."""
+    b = np.frombuffer(raw, np.uint8)
+    wide = b >= 128
+    out = np.repeat(b, 1 + wide)
+    at = np.flatnonzero(wide)
+    pair = _spelling[b[at] - 128]
+    at += np.arange(len(at))
+    out[at], out[at + 1] = pair[:, 0], pair[:, 1]
+    return out.tobytes().decode()
 
 
 class WordIds:
     """Ids of texts by a tokenizer that drops white space, so that words are encoded apart and remembered.
 
-    New words of Latin letters only, nearly all of them, skip the tokenizer's normaliser and splitter, which leave them whole:
-    they are lower-cased, joined, encoded by its BPE model alone, and cut where an id ends a word. The others go the long way.
+    A word's final marks are a word of their own where the splitter cuts there too. New words of Latin letters only, nearly all of
+    them, skip the tokenizer's normaliser and splitter, which leave them whole: they are lower-cased, joined, encoded by its BPE
+    model alone, and cut where an id ends a word. The others go the long way.
+
+    Words known are numbered and found by their hashes, and their bytes are compared; all lie in arrays, without objects of their own.
     """
 
     def __init__(self, path: str) -> None:
@@ -116,45 +134,80 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        bare = json.loads(self.tokenizer.to_str()) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
+        bare = json.loads(self.tokenizer.to_str()) | {"normalizer": None, "pre_tokenizer": {"type": "CharDelimiterSplit", "delimiter": " "}, "added_tokens": []}
         self.letters = Tokenizer.from_str(json.dumps(bare))
         vocabulary = self.letters.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.kept: dict[bytes, bytes] = {}
-
-    def _encode(self, new: list[bytes]) -> None:
-        plain: list[bytes] = []
-        other: list[bytes] = []
-        for w in new:
-            (other if w.translate(None, _letters) else plain).append(w)
-        parts = [plain[i : i + 512] for i in range(0, len(plain), 512)]
-        joined = [b" ".join(p).decode().lower().encode().decode("latin-1").translate(_byte_map) for p in parts]
-        for p, e in zip(parts, self.letters.encode_batch_fast(joined, add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, "<u4")
-            raw, at = ids.tobytes(), 0
-            for w, to in zip(p, (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist(), strict=True):
-                self.kept[w], at = raw[at:to], to
-        for w, e in zip(other, self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False), strict=True):
-            self.kept[w] = np.array(e.ids, "<u4").tobytes()
-
-    def _learn(self, found: set[bytes]) -> None:
-        new = found.difference(self.kept)
-        if len(self.kept) + len(new) > HELD:
-            self.kept, new = {}, found
-        # A final run of marks after an ASCII letter is always a piece of its own.
-        pairs, todo = [], set()
-        for w in new:
-            s = w.rstrip(_marks)
-            if len(s) < len(w) and s and 97 <= s[-1] <= 122:
-                pairs.append((w, s, w[len(s) :]))
-                todo.add(s)
-                todo.add(w[len(s) :])
-            else:
-                todo.add(w)
-        self._encode(list(todo.difference(self.kept)))
-        for w, a, b in pairs:
-            self.kept[w] = self.kept[a] + self.kept[b]
+        self.type = np.dtype("<u2" if max(self.tokenizer.get_vocab().values()) <= 0xFFFF else "<u4")
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hash, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)  #: hashes in order, and whose they are
+        self.text, self.place = np.zeros(0, np.uint8), np.zeros(1, np.int64)  #: word k is text[place[k] : place[k + 1]]
+        self.ids, self.begin = np.zeros(0, self.type), np.zeros(1, np.int64)  #: its ids are ids[begin[k] : begin[k + 1]]
+
+    def _find(self, low: np.ndarray, start: np.ndarray, size: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of words, -1 where not known."""
+        out = np.full(len(start), -1, np.int64)
+        if not len(self.hash):
+            return out
+        order = np.argsort(hashes)
+        at = np.empty(len(order), np.int64)
+        at[order] = np.searchsorted(self.hash, hashes[order])
+        at[at == len(self.hash)] = 0
+        like = np.flatnonzero(self.hash[at] == hashes)
+        number = self.number[at[like]]
+        fine = T.equal_bytes(low, start[like], size[like], self.text, self.place[number], self.place[number + 1] - self.place[number])
+        out[like[fine]] = number[fine]
+        return out
+
+    def _learn(self, words: list[bytes], hashes: np.ndarray) -> np.ndarray:
+        """Numbers of new words. Of words with one hash the first one known is found again; the others are learned each time."""
+        kinds = np.array([0 if w.isalpha() else 2 if w.translate(None, _letters) else 1 for w in words])
+        order = np.argsort(kinds, kind="stable")
+        a, b = np.cumsum(np.bincount(kinds, minlength=3))[:2].tolist()
+        words = [words[i] for i in order.tolist()]
+        joined = [b" ".join(words[i : min(i + JOINED, a)]).decode() for i in range(0, a, JOINED)]
+        joined += [_spelled(b" ".join(words[i : min(i + JOINED, b)]).decode().lower().encode()) for i in range(a, b, JOINED)]
+        ids, stops, last = [self.ids], [self.begin], len(self.ids)
+        for i in range(0, len(joined), JOINED):
+            x = np.concatenate([np.array(e.ids, self.type) for e in self.letters.encode_batch_fast(joined[i : i + JOINED], add_special_tokens=False)])
+            ids.append(x)
+            stops.append(np.flatnonzero(self.ends[x]) + (last + 1))
+            last += len(x)
+        for i in range(b, len(words), 4096):
+            each = [np.array(e.ids, self.type) for e in self.tokenizer.encode_batch_fast([w.decode() for w in words[i : i + 4096]], add_special_tokens=False)]
+            ids += each
+            stops.append(np.cumsum([len(x) for x in each]) + last)
+            last = int(stops[-1][-1])
+        known = len(self.place) - 1
+        self.ids, self.begin = np.concatenate(ids), np.concatenate(stops)
+        if len(self.begin) != known + len(words) + 1:
+            raise ValueError("the vocabulary has words without an end")
+        self.text = np.concatenate([self.text, np.frombuffer(b"".join(words), np.uint8)])
+        self.place = np.concatenate([self.place, np.cumsum([len(w) for w in words]) + self.place[-1]])
+        out = np.empty(len(order), np.int64)
+        out[order] = np.arange(known, known + len(order))
+        fresh, first = np.unique(hashes, return_index=True)
+        at = np.searchsorted(self.hash, fresh)
+        if len(self.hash):
+            unlike = self.hash[np.minimum(at, len(self.hash) - 1)] != fresh
+            fresh, first, at = fresh[unlike], first[unlike], at[unlike]
+        self.hash, self.number = np.insert(self.hash, at, fresh), np.insert(self.number, at, out[first])
+        return out
+
+    def _numbers(self, low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        hashes = T.word_hashes(low, T.Words(start, end, np.zeros(0, np.int64)))
+        number = self._find(low, start, end - start, hashes)
+        new = np.flatnonzero(number < 0)
+        if len(self.place) + len(new) > HELD or len(self.ids) + len(self.text) > HELD_BYTES:
+            self._forget()
+            new = np.arange(len(start))
+        if len(new):
+            raw = low.tobytes()
+            number[new] = self._learn([raw[a:b] for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)], hashes[new])
+        return number
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts that lie one after another, and how many each has.
@@ -163,26 +216,43 @@ class WordIds:
         looked up once; their bytes are compared.
         """
         low = _fold[data]
-        w = T.words(low, offsets)
+        w = _without_marks(low, T.words(low, offsets))
         inverse, first = T.word_ids(low, w)
-        raw = low.tobytes()
-        found = [raw[a:b] for a, b in zip(w.start[first].tolist(), w.end[first].tolist(), strict=True)]
-        self._learn(set(found))
-        parts = list(map(self.kept.__getitem__, found))
-        count = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        begin, flat = np.cumsum(count) - count, np.frombuffer(b"".join(parts), "<u4")
-        each = count[inverse]
+        number = self._numbers(low, w.start[first], w.end[first])
+        begin = self.begin[number]
+        each = (self.begin[number + 1] - begin)[inverse]
         total = np.concatenate([[0], np.cumsum(each)])
-        ids = flat[np.repeat(begin[inverse] - total[:-1], each) + np.arange(total[-1])]
-        return ids, np.diff(total[w.first])
-
-
-_byte_map = _byte_letters()
-_marks = b".,;:!?#*$%&|<>()"
+        at = np.repeat(begin[inverse] - total[:-1], each)
+        at += np.arange(total[-1])
+        return self.ids[at], np.diff(total[w.first])
+
+
+def _without_marks(low: np.ndarray, w: T.Words) -> T.Words:
+    """Words with a final run of marks after a letter as a word of its own; the splitter always cuts there. Runs over 16 marks are left."""
+    at = w.end.copy()
+    live = marked = np.flatnonzero(_is_mark[low[w.end - 1]])
+    for _ in range(16):
+        at[live] -= 1
+        live = live[at[live] > w.start[live]]
+        live = live[_is_mark[low[at[live] - 1]]]
+    at[live] = w.start[live]
+    cut = marked[at[marked] > w.start[marked]]
+    place = at[cut]
+    last = low[place - 1]
+    letter = (last >= 97) & (last <= 122) | (low[np.maximum(place - 2, 0)] == 0xC3) & _is_second[last]
+    cut, place = cut[letter], place[letter]
+    return T.Words(np.insert(w.start, cut + 1, place), np.insert(w.end, cut, place), w.first + np.searchsorted(cut, w.first))
+
+
+_spelling = _byte_letters()
+_is_mark = np.isin(np.arange(256), list(b".,;:!?#*$%&|<>()"))
 _fold = np.arange(256, dtype=np.uint8)
 _fold[65:91] += 32
-#: Bytes of words that hold only a-z and the letters U+00C0 to U+00FF (their first byte is 0xC3; 0x97 and 0xB7 end signs).
-_letters = bytes([*range(97, 123), 0xC3, *(b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7))])
+#: Second bytes of the letters U+00C0 to U+00FF (0x97 and 0xB7 end signs); their first byte is 0xC3.
+_seconds = [b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)]
+_is_second = np.isin(np.arange(256), _seconds)
+#: Bytes of words that hold only a-z and those letters.
+_letters = bytes([*range(97, 123), 0xC3, *_seconds])
 _loaded: dict[str, WordIds] = {}
 
 
@@ -216,6 +286,7 @@ def write(docs: DataFrame, to: str, vocabulary: str, end_id: int = 1, id_col: st
             for a, z in T.slices(offsets, 1 << 21):
                 names.append(b.column(0).slice(a, z - a))
                 ids, count = encode(data[offsets[a] : offsets[z]], offsets[a : z + 1] - offsets[a])
+                ids = ids.astype(np.promote_types(ids.dtype, np.min_scalar_type(end_id)), copy=False)
                 held.append((np.insert(ids, np.cumsum(count), end_id), count + 1))
                 if sum(len(x) for x, _ in held) >= shard_ids:
                     yield close()

@@ -28,6 +28,9 @@ def docs(request, spark, odd):
     return spark.read.parquet(f"{DIR}/documents.parquet") if request.param == "table" else odd
 
 
+SPOKEN = "the of and to in that is was for on with as his they at be this from have or by one had not but what all were when".split()
+
+
 def rows(df):
     return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
 
@@ -73,6 +76,44 @@ def test_token_files_hold_the_librarys_ids_in_order(spark, docs):
     assert all(len(token_files.open_document(shard.body, i)) == ef.select(i + 1) - ef.select(i) for i in range(shard.n_docs)) and len(ids) == shard.n_tokens
 
 
+class Counted:
+    """A tokenizer that counts the words it is given."""
+
+    def __init__(self, inner, seen):
+        self.inner, self.seen = inner, seen
+
+    def encode_batch_fast(self, texts, **options):
+        self.seen += [w for t in texts for w in t.split()]
+        return self.inner.encode_batch_fast(texts, **options)
+
+
+def test_a_word_is_encoded_once_whatever_marks_follow():
+    ids = token_files.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    library, seen = ids.tokenizer, []
+    ids.tokenizer, ids.letters = Counted(ids.tokenizer, seen), Counted(ids.letters, seen)
+    words, ends = [x + "é" * (k % 2) for k, x in enumerate(SPOKEN)], ["", ",", ".", "!?", "***", "%%%", "...", ")"]
+    for e in ends:
+        t = " ".join(x + e for x in words)
+        raw = np.frombuffer(t.encode(), np.uint8)
+        assert ids(raw, np.array([0, len(raw)]))[0].tolist() == library.encode(t, add_special_tokens=False).ids
+    assert len(seen) <= len(words) + len(ends)
+
+
+@pytest.mark.parametrize("hashes", ["own", "by length"])
+@pytest.mark.parametrize("held", [token_files.HELD, 40])
+def test_words_at_marks_are_the_librarys(monkeypatch, held, hashes):
+    monkeypatch.setattr(token_files, "HELD", held)
+    if hashes == "by length":
+        monkeypatch.setattr(T, "word_hashes", lambda data, w, *_: (w.end - w.start).astype(np.uint64))
+    ids, g = token_files.WordIds(public_tokenizers.path("word_bpe_49k.json")), np.random.default_rng(5)
+    pieces = [*"aeszdmkSÉÀéßÿñ×÷,.;:!?#*$%&|<>()'\"-_019\u0301\u0338\u212aİΣσĳªµ\u00a0\u2003漢", "'s", "'re", "'ll", "</w>", "<|endoftext|>", "." * 15, "!" * 16, "#" * 17, "?" * 40, " ", " ", "\n"]
+    for _ in range(12):
+        texts = ["".join(g.choice(pieces, g.integers(0, 60))) for _ in range(25)]
+        raw = [t.encode() for t in texts]
+        got, count = ids(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        assert [x.tolist() for x in np.split(got, np.cumsum(count)[:-1])] == [ids.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("values", [[0], [0, 0, 0], [0, 5, 5, 1000], list(range(0, 5000, 3)), [0, 1 << 40]])
 def test_elias_fano(values):
     v = np.array(values, np.int64)
